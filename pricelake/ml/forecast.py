@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -147,11 +146,12 @@ def _state_features(windows: Windows, step: int) -> dict[str, Column]:
 
 def roll_forward(state: DataFrame, models: dict[str, GBTRegressionModel], bands: dict[str, dict],
                  horizon: int = fixed.FORECAST_HORIZON_DAYS, windows: Windows = Windows(),
-                 run_ids: dict[str, str] | None = None, cut_every: int = 5) -> DataFrame:
+                 run_ids: dict[str, str] | None = None, cut_every: int = 15) -> DataFrame:
     """Forecasts of every product and target for the next `horizon` days.
 
     Each step is a projection over the state (two bounded arrays per product): features, both models,
-    append. There is no shuffle; the state is stored every few steps so that plans stay small.
+    append. There is no shuffle, so all steps run in one stage; long horizons store the state every
+    `cut_every` steps to keep the plan small.
     """
     run_ids = run_ids or {}
     state = state.withColumn("path", F.array().cast("array<struct<step:int,price:double,velocity:double>>"))
@@ -177,19 +177,21 @@ def roll_forward(state: DataFrame, models: dict[str, GBTRegressionModel], bands:
             state = cut(state, f"forecast_state_{step}")
     points = state.select("product_id", "last_date", F.explode("path").alias("at"))
 
-    def of(target: str) -> DataFrame:
+    def shown(target: str) -> Column:
         yhat = F.col("at.price" if target == "price" else "at.velocity")
         low, high = min(bands[target]["low"], 0.0), max(bands[target]["high"], 0.0)
-        return points.select(
-            "product_id",
-            F.date_add("last_date", F.col("at.step")).alias("forecast_date"),
+        return F.struct(
             F.lit(target).alias("target"),
             F.round(yhat, 2).alias("yhat"),
             F.round(F.greatest(yhat + low, F.lit(fixed.FORECAST_FLOOR)), 2).alias("yhat_lower"),
             F.round(yhat + high, 2).alias("yhat_upper"),
             F.lit(run_ids.get(target, "unlogged")).alias("model_run_id"))
 
-    return reduce(DataFrame.unionByName, [of(t) for t in models])
+    return points.select(
+        "product_id",
+        F.date_add("last_date", F.col("at.step")).alias("forecast_date"),
+        F.explode(F.array(*[shown(t) for t in models])).alias("f"),
+    ).select("product_id", "forecast_date", "f.*")
 
 
 def train_and_forecast(observations: DataFrame, horizon: int = fixed.FORECAST_HORIZON_DAYS,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -30,19 +33,23 @@ def label_by_price(clustered: DataFrame) -> DataFrame:
 
 
 def product_segments(profile: DataFrame, products: DataFrame, restarts: int = 10,
-                     max_iter: int = 50, seed: int = fixed.SEED) -> DataFrame:
+                     max_iter: int = 50, parallel: int = 4,
+                     seed: int = fixed.SEED) -> DataFrame:
     """Segments of all profiled products; of several seeded starts the tightest clustering is kept."""
     profile = cut(profile, "profile")
     scaled = standardise(profile).select("product_id", *fixed.PROFILE_COLUMNS)
     points = cut(VectorAssembler(inputCols=fixed.PROFILE_COLUMNS, outputCol="point")
                  .transform(scaled).select("product_id", "point"), "points")
     k = cluster_count(profile.count())
-    best = None
-    for start in range(restarts):
-        model = KMeans(k=k, maxIter=max_iter, seed=seed + start, featuresCol="point",
-                       predictionCol="segment_id").fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+
+    def start(number: int):
+        return KMeans(k=k, maxIter=max_iter, seed=seed + number, featuresCol="point",
+                      predictionCol="segment_id").fit(points)
+
+    # independent starts share the cluster, as in Spark's own model selection
+    with ThreadPool(min(parallel, restarts)) as pool:
+        models = pool.map(inheritable_thread_target(points.sparkSession)(start), range(restarts))
+    best = min(models, key=lambda m: m.summary.trainingCost)
     assigned = best.transform(points).select("product_id", "segment_id")
     clustered = cut(profile.join(assigned, "product_id"), "clustered")
     named = products.select("product_id", "product_name", "category", "brand")

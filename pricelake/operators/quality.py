@@ -71,7 +71,7 @@ def quality_report(observations: DataFrame, as_of: dt.date, rejected_rows: int =
     rounded = dimensions(observations, as_of).select(
         *[F.round(c, 4).alias(c) for c in names], "rows_evaluated")
     composite = sum((F.col(c) * w for c, w in fixed.QUALITY_WEIGHTS.items()), F.lit(0.0))
-    stamp = F.lit(computed_at) if computed_at else F.current_timestamp()
+    stamp = F.lit(computed_at.isoformat(sep=" ")) if computed_at else F.current_timestamp()
     return rounded.select(
         stamp.cast("timestamp").alias("computed_at"),
         *names,

@@ -1,9 +1,10 @@
 """Ranks over whole tables without a one-partition sort.
 
-Exact order statistics come from narrowing a bracket of values around the wanted rank: a quantile sketch
-with a guaranteed rank error gives the bracket, one aggregation counts what lies below and inside, and the
-loop repeats inside the bracket until it holds few distinct values. Driver and tasks only ever see sketches
-and counts whose size is set here, not by the data.
+Exact order statistics come from narrowing an interval of values around the wanted rank: a quantile sketch with
+a guaranteed rank error gives a smaller interval, one aggregation counts what lies below it, on its ends and
+inside, and the loop goes on strictly inside until few rows are left. A value that holds a large share of the
+rows can only be an end, where it is counted and answered. Driver and tasks see sketches, counts and at most
+ROWS_AT_ONCE values, whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -13,34 +14,54 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ERROR = 0.002
-DISTINCT_AT_ONCE = 20_000
+ROWS_AT_ONCE = 100_000
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int) -> float | None:
-    """The value at 0-based `rank` of the non-null values in ascending order, exactly."""
+def values_at_ranks(df: DataFrame, column: str, wanted: list[int]) -> list[float | None]:
+    """The exact values at 0-based ranks of the non-null values in ascending order; None past the end.
+
+    `df` is read several times and should be a stored table where it is dear to compute.
+    """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    below, low, high = 0, None, None
-    while True:
-        inside = values
-        if low is not None:
-            inside = values.filter(F.col("v").between(low, high))
-        counts = inside.groupBy("v").agg(F.count("*").alias("n"))
-        head = counts.limit(DISTINCT_AT_ONCE + 1).collect()
-        if len(head) <= DISTINCT_AT_ONCE:
-            seen = below
-            for value, n in sorted((r["v"], r["n"]) for r in head):
-                seen += n
-                if rank < seen:
-                    return value
-            return None
-        total = inside.count()
+    total = values.count()
+    if total <= ROWS_AT_ONCE:
+        return _look_up(values, 0, wanted)
+    return [_narrow(values, total, rank) if rank < total else None for rank in wanted]
+
+
+def _look_up(values: DataFrame, below: int, wanted: list[int]) -> list[float | None]:
+    counts = sorted(tuple(r) for r in values.groupBy("v").agg(F.count("*")).collect())
+    found: list[float | None] = []
+    for rank in wanted:
+        seen, answer = below, None
+        for value, n in counts:
+            seen += n
+            if rank < seen:
+                answer = value
+                break
+        found.append(answer)
+    return found
+
+
+def _narrow(values: DataFrame, total: int, rank: int) -> float | None:
+    below, inside = 0, values
+    while total > ROWS_AT_ONCE:
         position = (rank - below) / total
         probes = [max(0.0, position - 2 * SKETCH_ERROR), min(1.0, position + 2 * SKETCH_ERROR)]
-        new_low, new_high = inside.approxQuantile("v", probes, SKETCH_ERROR)
-        if (new_low, new_high) == (low, high):
-            raise ArithmeticError("the bracket did not narrow")
-        low, high = new_low, new_high
-        below = values.filter(F.col("v") < low).count()
+        low, high = inside.approxQuantile("v", probes, SKETCH_ERROR)
+        v = F.col("v")
+        under, at_low, between, at_high = inside.agg(
+            F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high)),
+            F.count_if((v == high) & (v > low))).first()
+        if rank < below + under or rank >= below + under + at_low + between + at_high:
+            raise ArithmeticError("rank outside the interval of the sketch")
+        if rank < below + under + at_low:
+            return low
+        if rank >= below + under + at_low + between:
+            return high
+        below, total = below + under + at_low, between
+        inside = inside.filter((v > low) & (v < high))
+    return _look_up(inside, below, [rank])[0]
 
 
 def quantile(df: DataFrame, column: str, share: float, n: int | None = None) -> float | None:
@@ -50,12 +71,8 @@ def quantile(df: DataFrame, column: str, share: float, n: int | None = None) ->
         return None
     position = share * (n - 1)
     lower = int(position)
-    a = value_at_rank(df, column, lower)
-    weight = position - lower
-    if weight == 0:
-        return a
-    b = value_at_rank(df, column, lower + 1)
-    return a + (b - a) * weight
+    a, b = values_at_ranks(df, column, [lower, min(lower + 1, n - 1)])
+    return a + (b - a) * (position - lower)
 
 
 def median(df: DataFrame, column: str) -> float | None:
@@ -87,8 +104,8 @@ def top_share(df: DataFrame, column: str, share: float) -> tuple[int, float | No
     if not ranked:
         return budget, None, False
     if ranked <= budget:
-        return budget, value_at_rank(df, column, 0), True
-    threshold = value_at_rank(df, column, ranked - budget)
+        return budget, df.agg(F.min(column)).first()[0], True
+    threshold = values_at_ranks(df, column, [ranked - budget])[0]
     above, ties = df.agg(
         F.sum(F.when(F.col(column) > threshold, 1).otherwise(0)),
         F.sum(F.when(F.col(column) == threshold, 1).otherwise(0)),

@@ -19,7 +19,7 @@ def snapshot(previous: DataFrame | None, incoming: DataFrame, key: str, check: l
     versions pass by untouched.
     """
     columns = incoming.columns
-    at = F.lit(effective).cast("timestamp")
+    at = F.lit(effective.isoformat(sep=" ")).cast("timestamp")
     open_end = F.lit(None).cast("timestamp")
     if previous is None:
         return incoming.select("*", at.alias("valid_from"), open_end.alias("valid_to"))

@@ -5,7 +5,7 @@ Values reach the plan as literals and sort columns only from a list, so no text
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake import fixed_values as fixed
@@ -130,8 +130,8 @@ def facets(performance: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
-def kpis(spark: SparkSession, dim: DataFrame, performance: DataFrame, facts: DataFrame,
-         deals: DataFrame, anomalies_found: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+def kpis(dim: DataFrame, performance: DataFrame, facts: DataFrame, deals: DataFrame,
+         anomalies_found: DataFrame, reports: DataFrame | None = None) -> DataFrame:
     """One row of headline numbers, the newest quality report's columns included where there is one."""
     market = performance.agg(
         F.count_distinct("category").alias("categories"),

@@ -124,66 +124,64 @@ history as (
   from products where product_id % 10 = 0
 ),
 dim_product as (
-  select md5(cast(product_id as varchar) || '|' || cast(valid_from as varchar)) as product_sk,
-         product_id as product_nk, product_name, category, subcategory, brand, audience,
-         color_options, base_price, base_rating, image_url,
-         case when row_number() over (partition by product_id order by valid_from) = 1
-              then timestamp '1900-01-01' else valid_from end as valid_from,
-         coalesce(valid_to, timestamp '9999-12-31') as valid_to,
+  select md5(concat_ws('|', product_id, valid_from)) as product_sk, product_id as product_nk,
+         * exclude (product_id, valid_from, valid_to),
+         if(valid_from = min(valid_from) over (partition by product_id),
+            make_timestamp(1900, 1, 1, 0, 0, 0), valid_from) as valid_from,
+         ifnull(valid_to, make_timestamp(9999, 12, 31, 0, 0, 0)) as valid_to,
          valid_to is null as is_current
   from history
 ),
 dim_date as (
-  select cast(strftime(full_date, '%Y%m%d') as integer) as date_sk, full_date,
-         extract(year from full_date) as year, extract(quarter from full_date) as quarter,
-         extract(month from full_date) as month, strftime(full_date, '%B') as month_name,
-         cast(strftime(full_date, '%W') as integer) as week_of_year,
-         extract(isodow from full_date) as day_of_week, strftime(full_date, '%A') as day_name,
-         extract(isodow from full_date) >= 6 as is_weekend
-  from (select cast(unnest(generate_series(min(observed_date),
-                     max(observed_date) + interval 60 day, interval 1 day)) as date) as full_date
-        from observations)
+  select year(d)*10000 + month(d)*100 + day(d) as date_sk, d as full_date, year(d) as year,
+         (month(d) + 2) // 3 as quarter, month(d) as month, monthname(d) as month_name,
+         (dayofyear(d) + 7 - isodow(d)) // 7 as week_of_year, isodow(d) as day_of_week,
+         dayname(d) as day_name, isodow(d) in (6, 7) as is_weekend
+  from (select cast(b.first_day + n.i * interval 1 day as date) as d
+        from (select min(observed_date) as first_day, max(observed_date) as last_day
+              from observations) b, range(0, 20000) n(i)
+        where n.i <= b.last_day - b.first_day + 60)
 ),
 facts as (
-  select dp.product_sk, o.product_id as product_nk,
-         cast(strftime(o.observed_date, '%Y%m%d') as integer) as date_sk,
-         o.price, o.original_price, o.discount_percentage, o.availability, o.stock_level, o.rating,
-         o.review_count, o.sales_velocity, o.is_trending
-  from observations o join dim_product dp
-    on dp.product_nk = o.product_id
-   and o.observed_date >= cast(dp.valid_from as date) and o.observed_date < cast(dp.valid_to as date)
+  select dim_product.product_sk, observations.product_id as product_nk,
+         year(observed_date)*10000 + month(observed_date)*100 + day(observed_date) as date_sk,
+         observations.* exclude (product_id, observed_date)
+  from observations asof join dim_product
+    on observations.product_id = dim_product.product_nk
+   and observations.observed_date >= dim_product.valid_from
+),
+version_stats as (
+  select product_sk, avg(price) as p_avg, min(price) as p_min, max(price) as p_max,
+         stddev_samp(price) as p_dev, avg(rating) as r_avg, max(review_count) as n_reviews,
+         avg(discount_percentage) as d_avg, avg(sales_velocity) as v_avg, count(*) as n
+  from facts group by product_sk
 ),
 performance as (
-  select dp.product_nk as product_id, dp.product_name, dp.category, dp.subcategory, dp.brand,
-         dp.audience, dp.image_url, dp.base_rating,
-         avg(f.price) as avg_price, min(f.price) as min_price, max(f.price) as max_price,
-         avg(f.rating) as avg_rating, max(f.review_count) as total_reviews,
-         avg(f.discount_percentage) as avg_discount,
-         stddev_samp(f.price) / nullif(avg(f.price), 0) as price_volatility,
-         count(*) as data_points, avg(f.sales_velocity) as avg_sales_velocity
-  from facts f join dim_product dp on dp.product_sk = f.product_sk and dp.is_current
-  group by 1, 2, 3, 4, 5, 6, 7, 8
+  select product_nk as product_id, product_name, category, subcategory, brand, audience, image_url,
+         base_rating, p_avg as avg_price, p_min as min_price, p_max as max_price, r_avg as avg_rating,
+         n_reviews as total_reviews, d_avg as avg_discount,
+         case when p_avg <> 0 then p_dev / p_avg end as price_volatility, n as data_points,
+         v_avg as avg_sales_velocity
+  from dim_product join version_stats using (product_sk) where is_current
 ),
 latest as (
-  select * exclude (ord) from (
-    select *, row_number() over (partition by product_nk order by date_sk desc) as ord from facts)
-  where ord = 1
+  select * from facts qualify date_sk = max(date_sk) over (partition by product_nk)
 ),
 deals as (
-  select dp.product_nk as product_id, dp.product_name, dp.category, dp.brand, dp.image_url,
-         l.price as current_price, l.original_price, l.discount_percentage, l.rating,
-         dd.full_date as observed_date
-  from latest l join dim_product dp on dp.product_sk = l.product_sk
-                join dim_date dd on dd.date_sk = l.date_sk
-  where l.discount_percentage >= 15.0
+  select product_nk as product_id, product_name, category, brand, image_url, price as current_price,
+         original_price, discount_percentage, rating,
+         strptime(cast(date_sk as varchar), '%Y%m%d')::date as observed_date
+  from latest join (select product_sk, product_name, category, brand, image_url from dim_product)
+    using (product_sk)
+  where not discount_percentage < 15
 ),
 rollup_daily as (
-  select dp.category, dd.full_date, count(distinct f.product_nk) as products_observed,
-         avg(f.price) as avg_price, min(f.price) as min_price, max(f.price) as max_price,
-         avg(f.discount_percentage) as avg_discount, sum(f.sales_velocity) as total_sales_velocity
-  from facts f join dim_product dp on dp.product_sk = f.product_sk
-               join dim_date dd on dd.date_sk = f.date_sk
-  group by 1, 2
+  select category, strptime(cast(date_sk as varchar), '%Y%m%d')::date as full_date,
+         count(distinct product_nk) as products_observed, avg(price) as avg_price,
+         min(price) as min_price, max(price) as max_price, avg(discount_percentage) as avg_discount,
+         sum(sales_velocity) as total_sales_velocity
+  from facts join (select product_sk, category from dim_product) using (product_sk)
+  group by category, date_sk
 ),
 segments as (
   select product_id, case when base_price >= 950 then 'Premium' else 'Value' end as segment_name

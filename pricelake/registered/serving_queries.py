@@ -80,29 +80,28 @@ def srv_facets(feed: TradeFeed) -> DataFrame:
 
 @register("srv_kpis", "products:i categories:i brands:i warehouse_rows:i active_deals:i anomalies:i "
           "avg_price:d avg_discount:d", """
-select (select count(*) from dim_product where is_current) as products,
-       (select count(distinct category) from performance) as categories,
-       (select count(distinct brand) from performance) as brands,
-       (select count(*) from facts) as warehouse_rows,
-       (select count(*) from deals) as active_deals,
-       (select count(*) from flagged where zscore_flag) as anomalies,
-       (select round(avg(avg_price), 2) from performance) as avg_price,
-       (select round(avg(avg_discount), 2) from performance) as avg_discount""")
+select * from (select count_if(is_current) as products from dim_product)
+  positional join (select count(distinct category) as categories, count(distinct brand) as brands,
+                          round(avg(avg_price), 2) as avg_price,
+                          round(avg(avg_discount), 2) as avg_discount from performance)
+  positional join (select count(*) as warehouse_rows from facts)
+  positional join (select count(*) as active_deals from deals)
+  positional join (select count_if(zscore_flag) as anomalies from flagged)""")
 def srv_kpis(feed: TradeFeed) -> DataFrame:
     found = zscore_flags(feed).filter("zscore_flag")
-    return serving.kpis(feed.spark, feed.dim_product, feed.performance, feed.facts, feed.deals, found)
+    return serving.kpis(feed.dim_product, feed.performance, feed.facts, feed.deals, found)
 
 
 INSIGHTS_SQL = """
-select category, round(100.0 * (recent - prior) / nullif(prior, 0), 1) as pct_change_7d,
-       case when recent > prior then 'up' else 'down' end as direction
-from (select category,
-        avg(avg_price) filter (where full_date > latest - interval 7 day) as recent,
-        avg(avg_price) filter (where full_date <= latest - interval 7 day
-                                 and full_date > latest - interval 14 day) as prior
-      from (select category, full_date, avg_price, max(full_date) over (partition by category) as latest
-            from rollup_daily) group by category)
-where prior is not null"""
+select category, round(100 * (new_mean / old_mean - 1), 1) as pct_change_7d,
+       if(new_mean > old_mean, 'up', 'down') as direction
+from (select category, avg(if(age < 7, avg_price, null)) as new_mean,
+             avg(if(age between 7 and 13, avg_price, null)) as old_mean
+      from (select r.category, r.avg_price, last_day - r.full_date as age
+            from rollup_daily r join (select category, max(full_date) as last_day from rollup_daily
+                                      group by category) using (category))
+      group by category)
+where old_mean is not null"""
 
 
 @register("srv_insights", "category:s pct_change_7d:d direction:s", INSIGHTS_SQL)

@@ -122,8 +122,8 @@ class Lake:
             raise CheckFailed("fact_price_observation: price must be positive")
         keyed = facts.withColumn("month_sk", dates.month_key(F.col("date_sk")))
         days = ["month_sk", "date_sk"] if by_day else ["month_sk"]
-        placed = keyed.repartitionByRange("date_sk", "product_sk").sortWithinPartitions(
-            "date_sk", "product_sk")
+        placed = keyed.repartitionByRange("date_sk", "product_nk").sortWithinPartitions(
+            "date_sk", "product_nk")
         return self.write(placed, "warehouse", "fact_price_observation", partition_by=days)
 
     def facts(self) -> DataFrame:
