@@ -51,7 +51,9 @@ def list_products(performance: DataFrame, segments: DataFrame, page: int = 1,
     size = page_size_of(page_size)
     column = sort_by if sort_by in fixed.SORTABLE else fixed.DEFAULT_SORT
     order = [F.desc_nulls_last(column) if descending else F.asc_nulls_last(column), F.asc("product_id")]
-    rows = _matching(performance, **filters).orderBy(*order).offset((page - 1) * size).limit(size)
+    # limit before offset: after offset().limit() adaptive execution was seen to drop the last sort
+    rows = _matching(performance, **filters).orderBy(*order).limit(page * size).offset(
+        (page - 1) * size)
     return _with_segment(rows, segments).orderBy(*order)
 
 
