@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -199,18 +201,22 @@ def train_and_forecast(observations: DataFrame, horizon: int = fixed.FORECAST_HO
                        lake=None) -> DataFrame:
     """Backtest, refit on everything, forecast both targets; runs are journalled where a lake is given."""
     frame = cut(training_frame(observations, windows, leaky), "training")
-    models, bands, run_ids = {}, {}, {}
-    for target in TARGETS:
-        bands[target] = backtest(frame, target, rounds)
-        models[target] = fit(frame, target, rounds)
-        run_ids[target] = uuid.uuid4().hex[:12]
-        if lake is not None:
-            leading = ",".join(f"{f}:{w}" for f, w in top_features(models[target]))
-            lake.log_run(
-                f"{target}_forecasting",
-                {"model": "spark_gbt", "horizon_days": horizon,
-                 "features": ",".join(fixed.FORECAST_FEATURES), "top_feature_importance": leading},
-                {"backtest_mae": bands[target]["mae"], "backtest_mape": bands[target]["mape"],
-                 "interval_width": bands[target]["high"] - bands[target]["low"]},
-                {"target": target}, run_ids[target])
+    # four independent trainings; their many small jobs overlap on the cluster
+    tasks = {(job.__name__, target): (job, target) for job in (backtest, fit) for target in TARGETS}
+    with ThreadPool(len(tasks)) as pool:
+        train = inheritable_thread_target(frame.sparkSession)(
+            lambda task: task[0](frame, task[1], rounds))
+        done = dict(zip(tasks, pool.map(train, tasks.values())))
+    models = {t: done["fit", t] for t in TARGETS}
+    bands = {t: done["backtest", t] for t in TARGETS}
+    run_ids = {t: uuid.uuid4().hex[:12] for t in TARGETS}
+    for target in TARGETS if lake is not None else ():
+        leading = ",".join(f"{f}:{w}" for f, w in top_features(models[target]))
+        lake.log_run(
+            f"{target}_forecasting",
+            {"model": "spark_gbt", "horizon_days": horizon,
+             "features": ",".join(fixed.FORECAST_FEATURES), "top_feature_importance": leading},
+            {"backtest_mae": bands[target]["mae"], "backtest_mape": bands[target]["mape"],
+             "interval_width": bands[target]["high"] - bands[target]["low"]},
+            {"target": target}, run_ids[target])
     return roll_forward(series_state(observations, windows), models, bands, horizon, windows, run_ids)

@@ -33,7 +33,7 @@ def label_by_price(clustered: DataFrame) -> DataFrame:
 
 
 def product_segments(profile: DataFrame, products: DataFrame, restarts: int = 10,
-                     max_iter: int = 50, parallel: int = 4,
+                     max_iter: int = 50, parallel: int = 5,
                      seed: int = fixed.SEED) -> DataFrame:
     """Segments of all profiled products; of several seeded starts the tightest clustering is kept."""
     profile = cut(profile, "profile")

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,17 +105,26 @@ def check_quality(lake: Lake, as_of: dt.date, rejected: int, floor: float = fixe
 
 
 def score_models(lake: Lake, settings: Settings = Settings()) -> dict[str, int]:
-    """Forecasts, anomalies and recommendations, each run journalled."""
-    forecasts = forecast.train_and_forecast(
-        observations_of(lake), settings.horizon, settings.boosting_rounds, settings.windows, lake=lake)
-    found = anomaly.detect(lake.read("gold", "product_daily_features"), lake=lake,
-                           trees=settings.forest_trees)
-    recommended = neighbours.build(lake.read("gold", "product_segments"), lake=lake)
-    return {
-        "forecast": lake.write(forecasts, "gold", "forecast", partition_by=["target"]),
-        "anomalies": lake.write(found, "gold", "anomalies"),
-        "recommendations": lake.write(recommended, "gold", "recommendations"),
-    }
+    """Forecasts, anomalies and recommendations, each run journalled. They do not depend on each other and
+    run side by side."""
+    def forecasts() -> int:
+        made = forecast.train_and_forecast(observations_of(lake), settings.horizon,
+                                           settings.boosting_rounds, settings.windows, lake=lake)
+        return lake.write(made, "gold", "forecast", partition_by=["target"])
+
+    def anomalies() -> int:
+        found = anomaly.detect(lake.read("gold", "product_daily_features"), lake=lake,
+                               trees=settings.forest_trees)
+        return lake.write(found, "gold", "anomalies")
+
+    def recommendations() -> int:
+        return lake.write(neighbours.build(lake.read("gold", "product_segments"), lake=lake),
+                          "gold", "recommendations")
+
+    jobs = {"forecast": forecasts, "anomalies": anomalies, "recommendations": recommendations}
+    with ThreadPool(len(jobs)) as pool:
+        run = inheritable_thread_target(lake.spark)(lambda job: job())
+        return dict(zip(jobs, pool.map(run, jobs.values())))
 
 
 def build_warehouse(lake: Lake, effective: dt.datetime, settings: Settings = Settings()) -> dict[str, int]:
