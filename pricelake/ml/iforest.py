@@ -92,30 +92,32 @@ def fit(rows: DataFrame, key: list[str], columns: list[str], n: int, trees: int
     nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
     starts = nodes.index[nodes["node"] == 0].to_numpy()
     base = np.repeat(starts, np.diff(np.append(starts, len(nodes))))
+    children = np.column_stack([nodes["left"] + base, nodes["right"] + base])
     return {
-        "roots": starts,
-        "feature": nodes["feature"].to_numpy(dtype=np.int64),
+        "roots": starts.astype(np.int32),
+        "feature": nodes["feature"].to_numpy(dtype=np.int32),
         "cut": nodes["cut"].to_numpy(dtype=float),
-        "left": nodes["left"].to_numpy(dtype=np.int64) + base,
-        "right": nodes["right"].to_numpy(dtype=np.int64) + base,
+        "children": children.astype(np.int32).ravel(),  # of node i: left at 2i, right at 2i + 1
         "path": nodes["path"].to_numpy(dtype=float),
         "scale": average_path(size) or 1.0,
         "levels": max(1, math.ceil(math.log2(max(size, 2)))),
     }
 
 
-def path_scores(points: np.ndarray, forest: dict, chunk: int = 2048) -> np.ndarray:
-    """2 ** (-mean path / expected path) for every row; higher is more anomalous."""
+def path_scores(points: np.ndarray, forest: dict, chunk: int = 256) -> np.ndarray:
+    """2 ** (-mean path / expected path) for every row; higher is more anomalous.
+
+    A chunk of rows goes down all trees at once, level by level; a leaf is its own child.
+    """
     out = np.empty(len(points))
     for start in range(0, len(points), chunk):
-        part = points[start:start + chunk]
+        part = np.ascontiguousarray(points[start:start + chunk])
+        row = np.arange(len(part), dtype=np.int32)[:, None] * np.int32(part.shape[1])
         at = np.broadcast_to(forest["roots"], (len(part), len(forest["roots"])))
-        row = np.arange(len(part))[:, None]
         for _ in range(forest["levels"]):
-            goes_left = part[row, forest["feature"][at]] <= forest["cut"][at]
-            at = np.where(goes_left, forest["left"][at], forest["right"][at])
-        mean_path = forest["path"][at].mean(axis=1)
-        out[start:start + chunk] = np.exp2(-mean_path / forest["scale"])
+            value = part.ravel().take(row + forest["feature"].take(at))
+            at = forest["children"].take(2 * at + (value > forest["cut"].take(at)))
+        out[start:start + chunk] = np.exp2(-forest["path"].take(at).mean(axis=1) / forest["scale"])
     return out
 
 

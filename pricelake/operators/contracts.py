@@ -97,10 +97,13 @@ class Contract:
 
     def split(self, df: DataFrame, check_unique: bool = True) -> tuple[DataFrame, DataFrame]:
         """(valid, rejected): valid rows coerced, rejected rows whole with their reason."""
-        marked = self.annotate(df, check_unique)
+        return self.parts(self.annotate(df, check_unique))
+
+    def parts(self, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The same from annotated rows, which a caller that uses both parts stores first."""
         rejected = marked.filter(F.col(REASON).isNotNull())
-        if self.missing(df):
-            empty = df.sparkSession.createDataFrame(
+        if self.missing(marked):
+            empty = marked.sparkSession.createDataFrame(
                 [], ", ".join(f"{r.column} {r.type}" for r in self.rules))
             return empty, rejected
         return self.coerced(marked.filter(F.col(REASON).isNull())), rejected

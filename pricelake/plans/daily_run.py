@@ -55,7 +55,8 @@ def to_bronze(lake: Lake, load_date: str) -> dict[str, int]:
     counts, rejected = {}, 0
     for dataset, key, contract in (("products", "product_id", PRODUCTS),
                                    ("price_facts", "fact_id", PRICE_FACTS)):
-        valid, bad = contract.split(_last(lake, dataset, key, load_date), check_unique=False)
+        marked = contract.annotate(_last(lake, dataset, key, load_date), check_unique=False)
+        valid, bad = contract.parts(cut(marked, f"{dataset}_checked"))
         rejected += lake.quarantine(bad, SOURCE, dataset, load_date)
         counts[dataset] = lake.write(valid.withColumn("dt", F.lit(load_date)), "bronze", dataset,
                                      partition_by=["dt"])
@@ -66,7 +67,7 @@ def to_bronze(lake: Lake, load_date: str) -> dict[str, int]:
 
 
 def _bronze(lake: Lake, dataset: str, load_date: str) -> DataFrame:
-    return lake.read("bronze", dataset).filter(F.col("dt").cast("string") == load_date).drop("dt")
+    return lake.read("bronze", dataset, f"dt={load_date}")
 
 
 def to_silver(lake: Lake, load_date: str, settings: Settings = Settings()) -> dict[str, int]:
@@ -141,7 +142,11 @@ def build_warehouse(lake: Lake, effective: dt.datetime, settings: Settings = Set
 
     facts = warehouse.fact_price_observation(observed, dim)
     if lake.exists("warehouse", "fact_price_observation"):
-        facts = warehouse.late_window(facts, lake.facts(), settings.late_days)
+        young = warehouse.young_months(lake.read("silver", "price_observations"), lake.facts(),
+                                       settings.late_days)
+        facts = warehouse.late_window(
+            warehouse.fact_price_observation(warehouse.stage_observations(young), dim),
+            lake.facts(), settings.late_days)
     counts["facts_loaded"] = lake.write_facts(cut(facts, "young_facts"))
     stored = lake.facts()
     marts = {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricelake import fixed_values as fixed
 from pricelake.functions import numbers, text
 from pricelake.operators import ranks
+from pricelake.session import cut
 
 
 def price_of(final: Column, initial: Column) -> Column:
@@ -62,7 +63,7 @@ def onboard(export: DataFrame, order: str = "row") -> DataFrame:
         F.col("asin").alias("source_asin"),
         F.col("url").alias("source_url"),
     )
-    complete = impute(rows).dropna(subset=["name", "base_price"])
+    complete = impute(cut(rows, "onboarding")).dropna(subset=["name", "base_price"])
     return ranks.dense_ids(complete, order, "product_id").drop(order)
 
 

@@ -76,26 +76,42 @@ def fact_price_observation(observations: DataFrame, dim: DataFrame) -> DataFrame
     return matched.select("product_sk", "product_nk", dates.day_key(day).alias("date_sk"), *measures)
 
 
-def late_window(facts: DataFrame, target: DataFrame, days: int = fixed.LATE_ARRIVAL_DAYS,
-                compat: bool = False) -> DataFrame:
-    """Facts young enough to be (re)loaded into `target`; all of them where it is empty.
+def late_floor(target: DataFrame, days: int = fixed.LATE_ARRIVAL_DAYS,
+               compat: bool = False) -> DataFrame:
+    """One row `floor`: facts with a greater date_sk are young enough; 0 where the target is empty.
 
     Days are calendar days. `compat=True` subtracts from the yyyymmdd integer instead, which at the start
     of a month does not reach into the month before.
     """
     newest = target.agg(F.max("date_sk").alias("newest"))
     if compat:
-        floor = newest.select(F.coalesce(F.col("newest") - days, F.lit(0)).alias("floor"))
-    else:
-        last = F.to_date(F.col("newest").cast("string"), "yyyyMMdd")
-        floor = newest.select(
-            F.coalesce(dates.day_key(F.date_sub(last, days)), F.lit(0)).alias("floor"))
-    return facts.filter(F.col("date_sk") > floor.scalar())
+        return newest.select(F.coalesce(F.col("newest") - days, F.lit(0)).alias("floor"))
+    last = F.to_date(F.col("newest").cast("string"), "yyyyMMdd")
+    return newest.select(F.coalesce(dates.day_key(F.date_sub(last, days)), F.lit(0)).alias("floor"))
+
+
+def late_window(facts: DataFrame, target: DataFrame, days: int = fixed.LATE_ARRIVAL_DAYS,
+                compat: bool = False) -> DataFrame:
+    """Facts young enough to be (re)loaded into `target`; all of them where it is empty."""
+    return facts.filter(F.col("date_sk") > late_floor(target, days, compat).scalar())
+
+
+def young_months(observations: DataFrame, target: DataFrame,
+                 days: int = fixed.LATE_ARRIVAL_DAYS) -> DataFrame:
+    """Observations of the months the late window reaches into. On a table partitioned by month the
+    filter prunes partitions at run time, so an increment does not read the history."""
+    floor = F.lpad(F.col("floor").cast("string"), 8, "0")
+    month = late_floor(target, days).select(
+        F.concat(floor.substr(1, 4), F.lit("-"), floor.substr(5, 2)).alias("month"))
+    return observations.filter(F.col("month") >= month.scalar())
 
 
 def replace_days(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Delete-and-insert by day: the target without the days of the batch, plus the batch."""
-    days = batch.select("date_sk").distinct()
+    """Delete-and-insert by day: the target without the days of the batch, plus the batch.
+
+    The days are at most the calendar days on record, so they are broadcast and the target stays put.
+    """
+    days = F.broadcast(batch.select("date_sk").distinct())
     return target.join(days, "date_sk", "left_anti").select(*target.columns).unionByName(batch)
 
 

@@ -30,7 +30,12 @@ def test_keep_last_reduces_before_the_shuffle(spark):
     frame = spark.range(100).selectExpr("id % 3 as k", "id as o")
     plan = keep_last(frame, ["k"], ["o"])._jdf.queryExecution().executedPlan().toString()
     before_exchange = plan[plan.index("Exchange hashpartitioning"):]
-    assert "partial_max_by" in before_exchange and "Window" not in plan
+    assert "partial_max(" in before_exchange and "Window" not in plan
+
+
+def test_keep_last_with_unordered_columns(spark):
+    frame = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k bigint, o bigint, m map<string,int>")
+    assert [r["m"] for r in keep_last(frame, ["k"], ["o"]).collect()] == [{"b": 2}]
 
 
 def test_grain_takes_highest_fact(spark):
