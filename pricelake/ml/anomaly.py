@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelake import fixed_values as fixed
 from pricelake.ml import iforest
 from pricelake.operators import ranks
-from pricelake.session import cut
+from pricelake.session import cut, spread
 
 KEY = ["product_id", "observed_date"]
 
@@ -47,10 +47,11 @@ def zscore_flags(scored: DataFrame, budget_share: float = fixed.ALERT_BUDGET) ->
 
 def forest_flags(scored: DataFrame, contamination: float = fixed.FOREST_CONTAMINATION,
                  trees: int = fixed.FOREST_TREES, seed: int = fixed.SEED) -> DataFrame:
-    """Adds iforest_score (four places) and iforest_flag, set above the exact score quantile."""
+    """Adds iforest_score (four places) and iforest_flag, set above the exact score quantile; `scored` is a
+    stored table."""
     n = scored.count()
     forest = iforest.fit(scored, KEY, fixed.FOREST_COLUMNS, n, trees, seed=seed)
-    rated = cut(scored.withColumn(
+    rated = cut(spread(scored).withColumn(
         "_score", iforest.score(scored, fixed.FOREST_COLUMNS, forest)), "forest_scores")
     limit = ranks.quantile(rated, "_score", 1 - contamination, n)
     return rated.withColumns({

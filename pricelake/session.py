@@ -64,3 +64,10 @@ def cut(df: DataFrame, name: str = "stage", partition_by: list[str] | None = Non
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(stored: DataFrame) -> DataFrame:
+    """A stored table in at least as many partitions as the cluster has cores, for work that is heavy per
+    row. A large table has more to begin with and is left as it is, without a shuffle."""
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
