@@ -4,7 +4,8 @@ Each source has a target size; target / size says how often each of its document
 is taken for sure, the fraction is an inclusion probability. Probabilities move along the null space of the balancing
 constraints (words and documents of the source), a few units at a time, until each is 0 or 1, so the totals
 stay what they were. Units are dealt to blocks of about `BLOCK` by a hash; a block leaves two undecided units at most,
-which meet again in new blocks, until the last two of a source are rounded to the nearest total (landing).
+which meet again in new blocks. In a source's last block a dozen units wait, and the best of all their roundings,
+together with those of the two left by the flight, ends it (landing).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pricelake.session import cut
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 BLOCK = 4096
+LANDED = 12     # units of each source that are decided together at the end, besides those that the flight leaves
 NEAR = 1e-9
 
 
@@ -84,22 +86,29 @@ def flight(p: np.ndarray, size: np.ndarray, coins: np.ndarray) -> np.ndarray:
 
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The undecided units rounded so that the words, and then the documents, come closest to their sums."""
+    """The undecided units, `LANDED` + 2 at most, rounded so that the sums of words and documents change least."""
     at = np.flatnonzero((p > 0) & (p < 1))
-    best = min((tuple((m >> k) & 1 for k in range(len(at))) for m in range(1 << len(at))),
-               key=lambda s: (abs(float(np.dot(np.array(s) - p[at], size[at]))), abs(sum(s) - float(p[at].sum())), s))
+    choices = (np.arange(1 << len(at))[:, None] >> np.arange(len(at)) & 1) - p[at]
+    words, documents = np.abs(choices @ size[at]), np.abs(choices.sum(1))
+    best = np.argmin(words / max(size[at].mean(), 1) + documents / 8) if len(at) else 0
     p = p.copy()
-    p[at] = best
-    return p
+    p[at] += choices[best]
+    return np.round(p)
 
 
 def _fly(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["_order", "_doc", "_copy"], kind="stable")
     name = f"{rows['_rank'].iloc[0]}/{rows['_round'].iloc[0]}/{rows['_block'].iloc[0]}"
     seed = int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big")
-    size = rows["_size"].to_numpy()
-    p = flight(rows["_p"].to_numpy(), size, np.random.default_rng(seed).random(2 * len(rows) + 4))
-    return rows.assign(_p=landing(p, size) if rows["_blocks"].iloc[0] == 1 else p)
+    size, p = rows["_size"].to_numpy(), rows["_p"].to_numpy()
+    last = rows["_blocks"].iloc[0] == 1
+    flying = len(p)
+    if last:  # a few units stay on the ground, which leaves the landing something to choose from
+        undecided = np.flatnonzero((p > NEAR) & (p < 1 - NEAR))
+        flying = int(undecided[-LANDED]) if len(undecided) > LANDED else 0
+    coins = np.random.default_rng(seed).random(2 * len(rows) + 4)
+    p = np.concatenate([flight(p[:flying], size[:flying], coins), np.clip(p[flying:], 0, 1)])
+    return rows.assign(_p=landing(p, size) if last else p)
 
 
 def mix(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "source",
