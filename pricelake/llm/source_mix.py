@@ -87,7 +87,7 @@ def flight(p: np.ndarray, size: np.ndarray, coins: np.ndarray) -> np.ndarray:
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The undecided units, `LANDED` + 2 at most, rounded so that the sums of words and documents change least."""
-    at = np.flatnonzero((p > 0) & (p < 1))
+    at = np.flatnonzero((p > NEAR) & (p < 1 - NEAR))
     choices = (np.arange(1 << len(at))[:, None] >> np.arange(len(at)) & 1) - p[at]
     words, documents = np.abs(choices @ size[at]), np.abs(choices.sum(1))
     best = np.argmin(words / max(size[at].mean(), 1) + documents / 8) if len(at) else 0
