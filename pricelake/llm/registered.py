@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pricelake.llm.decontamination import OP10_SQL, op10_decontamination
 from pricelake.llm.language_id import op4_language_id
 from pricelake.llm.line_dedup import OP8_SQL, op8_line_dedup
+from pricelake.llm.outlier_rules import op2_outlier_rules
 from pricelake.llm.quality_classifier import op9_quality_classifier
 from pricelake.llm.source_mix import op3_source_mix
 from pricelake.llm.token_counts import op1_token_counts
+from pricelake.llm.toxicity import op6_toxicity
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name; the name begins with the operator's number."""
     return {query.__name__: query for query in (
-        op1_token_counts, op3_source_mix, op4_language_id, op8_line_dedup, op9_quality_classifier,
-        op10_decontamination)}
+        op1_token_counts, op2_outlier_rules, op3_source_mix, op4_language_id, op6_toxicity, op8_line_dedup,
+        op9_quality_classifier, op10_decontamination)}
 
 
 def llm_sql() -> dict[str, str]:
