@@ -30,6 +30,7 @@ BITS = 18
 ROUNDS = 6
 PENALTY = 100.0
 PLAIN, TELLING = 5, 2.5   # texts and log odds from which a word is a toxic example by itself
+LEANING = 1.5             # log odds that the worst word of a toxic text must have to become an example
 HARD = 1_500              # words of clean texts that each round adds
 THRESHOLD = 0.7
 
@@ -232,7 +233,7 @@ def _train(rows: pd.DataFrame) -> pd.DataFrame:
         order = np.lexsort((word, score[word], text))
         last = order[np.append(text[order][1:] != text[order][:-1], True)]
         worst = last[toxic[text[last]] & ~explained[text[last]]]
-        good[word[worst][odds[word[worst]] > 0]] = True
+        good[word[worst][odds[word[worst]] > LEANING]] = True
         # the words of clean texts that come closest to toxic ones
         hard = clean[~good[clean]]
         hard = hard[np.argsort(-score[hard], kind="stable")[:HARD]]
