@@ -25,6 +25,7 @@ EPOCHS = 3
 SCALE = 16.0        # feature value of a text that repeats one n-gram only
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 THRESHOLD = 0.7
+REPEATED = np.uint64(0xA5A5A5A5A5A5A5A5)
 
 KINDS = np.full(256, 1, np.uint8)               # letters, digits and bytes of other scripts
 KINDS[[b for b in range(128) if not chr(b).isalnum()]] = 2
@@ -32,12 +33,14 @@ KINDS[spans.SPACES] = 0
 
 
 def features(block: spans.Block) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every word and of every pair of words, and the row of each."""
+    """Bucket of every word and of every pair of words, and the row of each; a word and itself are one pair for all words."""
     starts, ends, firsts = spans.runs(KINDS[block.data], block.offsets)
     single = spans.hashes(block.data, starts, ends, spans.LOWER)
     pairs, pair_rows = spans.ngrams(single, firsts, 2)
+    rows = spans.rows_of(firsts)
+    pairs[(single[1:] == single[:-1])[rows[1:] == rows[:-1]]] = REPEATED
     buckets = np.concatenate([spans.mixed(single), pairs]) >> np.uint64(64 - BITS)
-    return buckets.astype(np.int32), np.concatenate([spans.rows_of(firsts), pair_rows])
+    return buckets.astype(np.int32), np.concatenate([rows, pair_rows])
 
 
 def follow_leader(examples: list[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, float]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import spans
@@ -259,10 +259,10 @@ def fit(labelled: DataFrame, docs: DataFrame, label: str = "toxic", sample: int
 
     Rows with a null id or label are left out; of an id labelled twice both labels count.
     """
-    order = Window.partitionBy("_toxic").orderBy("_order", "doc_id")
-    chosen = (labelled.select("doc_id", (F.col(label) > 0).cast("int").alias("_toxic"), F.xxhash64("doc_id").alias("_order"))
-              .filter("doc_id is not null and _toxic is not null")
-              .withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= sample).drop("_at"))
+    known = (labelled.select("doc_id", (F.col(label) > 0).cast("int").alias("_toxic"), F.xxhash64("doc_id").alias("_order"))
+             .filter("doc_id is not null and _toxic is not null"))
+    ones, zeros = (known.filter(F.col("_toxic") == k).orderBy("_order", "doc_id").limit(sample) for k in (1, 0))
+    chosen = ones.union(zeros)
     texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
              .join(F.broadcast(chosen), "doc_id").select("_order", "_toxic", "_text"))
     rows = texts.orderBy("_order", "_toxic", "_text").limit(2 * sample)
