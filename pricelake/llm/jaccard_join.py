@@ -5,14 +5,15 @@ only made by intersecting two nodes' sorted shingle hashes. Candidates come in t
 
 1. Nodes that share a smallest hash under one of `BANDS` permutations are compared with the first node of their bucket.
    This joins most copies to large components by stars instead of by all pairs.
-2. Two sets that link share a shingle among the first quarter of each, in any common order; the order here puts
-   shingles of many documents last. Only shingles that nodes of different components have in that quarter are kept.
-3. Nodes that share such a shingle meet in tiles of one size band, the smaller ones also in the next band. In a tile, bit
-   counts of hashed bitmaps bound every intersection from above; pairs of different components that the bound
-   lets through are intersected, first the most promising of each two components, then all that are left.
-
-Tiles of more than `TILE` rows are cut into a grid, so a task's memory is bounded; fixed-size bitmaps of shingles and
-nodes thin out what is shuffled, and let more through, never less, when they are full.
+2. Two sets that link share a shingle among the first quarter of each, in any common order. The order here puts
+   shingles last that a twice-seen filter over all nodes has, so most texts have nothing to share in that quarter. Of the
+   rest, only shingles that nodes of different components have there are kept.
+3. Nodes that share such a shingle meet in a tile. Bit counts of hashed bitmaps bound every intersection from above;
+   pairs of different components that the bound lets through are intersected, first the most promising of each two
+   components, then all that are left.
+
+Tiles of more than `TILE` rows are split into size bands, where smaller nodes also visit the next band, and each band into a
+grid of blocks, so a task's memory is bounded. Filters have fixed sizes; full ones let more through, never less.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,9 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100        # of the least similarity
 BANDS = 8
 FILTER_BITS = 24
-HEAVY_BITS = 20                         # shingle buckets whose documents are counted to find common shingles
-HEAVY = 32                              # documents of one task's rows with a bucket, at least, for its shingles to come last
+TWICE_BITS, SHARD_BITS = 27, 20         # of the filter of shingles that two nodes have, and of its shards
+FAN_IN = 64                             # tasks whose filters meet in one place at a time
+HELD = 8_000_000                        # places of shingles that a task holds before it combines them
 TILE = 1024
 BAND_RATIO = 4 / 3
 LEAST_BITS, MOST_BITS = 64, 4096        # of a bitmap; about twice the set's size between
@@ -60,8 +63,12 @@ def shingle_sets(block: spans.Block, n: int = WORDS) -> tuple[np.ndarray, np.nda
         value = hashed[np.minimum(firsts[short] + k, max(len(hashed) - 1, 0))] if len(hashed) else whole
         whole = np.where(has, spans.mixed(whole * np.uint64(0xD1342543DE82EF95) + value), whole)
     grams, rows = np.concatenate([grams, whole]), np.concatenate([rows, short])
-    order = np.lexsort((grams, rows))
-    grams, rows = grams[order], rows[order]
+    if len(short):
+        order = np.argsort(rows, kind="stable")
+        grams, rows = grams[order], rows[order]
+    bounds = np.searchsorted(rows, np.arange(len(counts) + 1))
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        grams[low:high].sort()
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
     grams, rows = grams[new], rows[new]
@@ -126,69 +133,75 @@ class Sets:
         kept = by_batch(self.nodes.select("node", "doc"), "place int", lambda batch: {"place": pa.array(
             _key(batch.column(0).to_numpy().view(np.uint64), batch.column(1)), pa.int32())})
         self.chosen = self.spark.sparkContext.broadcast(_bitmap(kept))
-        self.heavy = self.spark.sparkContext.broadcast(self._heavy())
+        self.twice = self.spark.sparkContext.broadcast(self._twice())
 
-    def _heavy(self) -> np.ndarray:
-        """Buckets of shingles that are in many documents."""
+    def _twice(self) -> np.ndarray:
+        """A filter of the shingles of at least two nodes, as a bitmap."""
+        standing = _standing_of(self.chosen)
 
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found, rows = np.zeros(1 << HEAVY_BITS, np.int64), 0
+        def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            places, twice, held = [], [], 0
             for batch in batches:
-                for block in spans.blocks(batch.column(0)):
-                    grams, _ = shingle_sets(block)
-                    found += np.bincount((grams >> np.uint64(64 - HEAVY_BITS)).astype(np.int64), minlength=len(found))
-                    rows += block.last - block.first
-            usual = found.mean()
-            buckets = np.flatnonzero(found >= max(HEAVY + 4 * usual, rows / 512))
-            if len(buckets):
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array(buckets, pa.int32())})
-
-        heavy = np.zeros(1 << HEAVY_BITS, bool)
-        heavy[self.rows.select("text").mapInArrow(counted, "bucket int").distinct().toArrow().column(0).to_numpy()] = True
-        return heavy
+                for block in spans.blocks(batch.column(1)):
+                    grams, firsts = shingle_sets(block)
+                    stands = standing(batch.column(0).slice(block.first, block.last - block.first), grams, firsts)
+                    places.append(_twice_place(grams[stands[spans.rows_of(firsts)]]))
+                    held += len(places[-1])
+                    if held > HELD:
+                        once, more = _once_and_twice(places)
+                        places, held = [once], len(once) // 2
+                        twice.append(more)
+            once, more = _once_and_twice(places)
+            twice = np.unique(np.concatenate([*twice, more]))
+            shards = np.arange((1 << TWICE_BITS - SHARD_BITS) + 1) << SHARD_BITS
+            at, also = np.searchsorted(once, shards), np.searchsorted(twice, shards)
+            for shard in np.flatnonzero(np.diff(at)):
+                yield _seen_batch(shard, once[at[shard]:at[shard + 1]] - shards[shard],
+                                  twice[also[shard]:also[shard + 1]] - shards[shard])
+
+        schema = "shard int, once binary, twice binary"
+        found = self.rows.mapInArrow(seen, schema).withColumn("part", F.spark_partition_id())
+        tasks = self.rows.rdd.getNumPartitions()
+        while tasks > FAN_IN:
+            tasks = -(-tasks // FAN_IN)
+            grouped = found.withColumn("part", (F.col("part") / FAN_IN).cast("int")).groupBy("shard", "part")
+            found = grouped.applyInPandas(lambda key, rows: _seen_by_all(rows).assign(part=key[1]), schema + ", part int")
+        bits = np.zeros((1 << TWICE_BITS - SHARD_BITS, (1 << SHARD_BITS) // 8), np.uint8)
+        for row in found.drop("part").groupBy("shard").applyInPandas(_seen_twice, "shard int, bits binary").collect():
+            bits[row.shard] = np.frombuffer(row.bits, np.uint8)
+        return bits.reshape(-1)
 
     def prefixes(self, only: np.ndarray | None = None, bitmaps: bool = False) -> DataFrame:
-        """(token, node) of the first quarter of each node's set, and its size and bitmap if asked for.
-
-        `only`: a filter of tokens. Documents that stand for no node are left out, as far as the filter of nodes can tell.
-        """
-        chosen, heavy = self.chosen, self.heavy
+        """(token, node) of the first quarter of each node's set as far as other nodes may have the token; the node's
+        size and bitmap if asked for. `only`: a filter of tokens."""
+        standing, twice = _standing_of(self.chosen), self.twice
         wanted = self.spark.sparkContext.broadcast(only) if only is not None else None
 
-        def work(batch: pa.RecordBatch) -> dict | None:
-            tokens, nodes, sizes, maps, at_map = [], [], [], [], []
-            place = 0
-            for block in spans.blocks(batch.column(1)):
-                grams, firsts = shingle_sets(block)
-                node, size = node_ids(grams, firsts), np.diff(firsts)
-                stands = _in(chosen.value, _key(node, batch.column(0).slice(block.first, block.last - block.first))) & (size > 0)
-                row = spans.rows_of(firsts)
-                keep = stands[row]
-                grams, row = grams[keep], row[keep]
-                order = np.lexsort((grams, heavy.value[(grams >> np.uint64(64 - HEAVY_BITS)).astype(np.int64)], row))
-                grams, row = grams[order], row[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row)
-                first = rank < size[row] - (NUMERATOR * size[row] + DENOMINATOR - 1) // DENOMINATOR + 1
-                if wanted is not None:
-                    first &= _in(wanted.value, (grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
-                tokens.append(grams[first].view(np.int64))
-                nodes.append(node[row[first]].view(np.int64))
-                if bitmaps:
-                    sizes.append(size[row[first]])
-                    some, index = np.unique(row[first], return_inverse=True)
-                    bounds = np.searchsorted(row, np.append(some, len(size)))
-                    maps += [_signature(grams[bounds[i]:np.searchsorted(row, r + 1)]) for i, r in enumerate(some)]
-                    at_map.append(index + place)
-                    place += len(some)
-            made = {"token": pa.array(np.concatenate(tokens)), "node": pa.array(np.concatenate(nodes))}
-            if not len(made["token"]):
-                return None
-            if bitmaps:
-                made["n"] = pa.array(np.concatenate(sizes), pa.int64())
-                made["bits"] = pa.array(maps, pa.binary()).take(pa.array(np.concatenate(at_map)))
-            return made
-
-        return by_batch(self.rows, "token long, node long" + (", n long, bits binary" if bitmaps else ""), work)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block in spans.blocks(batch.column(1)):
+                    grams, firsts = shingle_sets(block)
+                    stands = standing(batch.column(0).slice(block.first, block.last - block.first), grams, firsts)
+                    size, row = np.diff(firsts), spans.rows_of(firsts)
+                    shared = _in(twice.value, _twice_place(grams))
+                    upto = np.concatenate([[0], np.cumsum(shared)])
+                    alone = size - (upto[firsts[1:]] - upto[firsts[:-1]])
+                    quarter = size - (NUMERATOR * size + DENOMINATOR - 1) // DENOMINATOR + 1
+                    keep = shared & stands[row] & (alone[row] + upto[:-1] - upto[firsts[:-1]][row] < quarter[row])
+                    if wanted is not None:
+                        keep &= _in(wanted.value, (grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
+                    if not keep.any():
+                        continue
+                    kept = row[keep]
+                    made = {"token": pa.array(grams[keep].view(np.int64)),
+                            "node": pa.array(node_ids(grams, firsts)[kept].view(np.int64))}
+                    if bitmaps:
+                        some, index = np.unique(kept, return_inverse=True)
+                        maps = pa.array([_signature(grams[firsts[r]:firsts[r + 1]]) for r in some], pa.binary())
+                        made |= {"n": pa.array(size[kept], pa.int64()), "bits": maps.take(pa.array(index))}
+                    yield pa.RecordBatch.from_pydict(made)
+
+        return self.rows.mapInArrow(run, "token long, node long" + (", n long, bits binary" if bitmaps else ""))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) of nodes whose sets are similar enough; exact."""
@@ -215,6 +228,56 @@ class Sets:
         return cut(both.filter(similar(F.col("text_a"), F.col("text_b"))).select("a", "b"), "links")
 
 
+def _standing_of(chosen):
+    """A function that says which rows stand for their node; all of them do, and perhaps a few more."""
+    return lambda ids, grams, firsts: _in(chosen.value, _key(node_ids(grams, firsts), ids)) & (np.diff(firsts) > 0)
+
+
+def _twice_place(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - TWICE_BITS)).astype(np.int64)
+
+
+def _once_and_twice(places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All places, and those that occur again."""
+    found, counts = np.unique(np.concatenate([*places, np.zeros(0, np.int64)]), return_counts=True)
+    return found, found[counts > 1]
+
+
+def _seen_batch(shard: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "once": pa.array([_gaps(once)], pa.binary()),
+                                       "twice": pa.array([_gaps(twice)], pa.binary())})
+
+
+def _gaps(places: np.ndarray) -> bytes:
+    """Ascending places as gaps in 16 bits, or as they are where a gap is too wide."""
+    gaps = np.diff(places, prepend=0)
+    if len(gaps) and gaps.max() > 65535:
+        return b"4" + places.astype(np.uint32).tobytes()
+    return b"2" + gaps.astype(np.uint16).tobytes()
+
+
+def _places(stored: bytes) -> np.ndarray:
+    if stored[:1] == b"4":
+        return np.frombuffer(stored, np.uint32, offset=1).astype(np.int64)
+    return np.cumsum(np.frombuffer(stored, np.uint16, offset=1), dtype=np.int64)
+
+
+def _met(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    once, more = _once_and_twice([_places(x) for x in rows["once"]])
+    return once, np.unique(np.concatenate([more, *map(_places, rows["twice"])]))
+
+
+def _seen_by_all(rows: pd.DataFrame) -> pd.DataFrame:
+    once, twice = _met(rows)
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "once": [_gaps(once)], "twice": [_gaps(twice)]})
+
+
+def _seen_twice(rows: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros(1 << SHARD_BITS, bool)
+    bits[_met(rows)[1]] = True
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+
+
 def _summary(batch: pa.RecordBatch) -> dict:
     nodes, sizes, bands = [], [], []
     for block in spans.blocks(batch.column(1)):
@@ -230,13 +293,22 @@ def _summary(batch: pa.RecordBatch) -> dict:
 
 def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
     found = []
-    for one, two in zip(spans.blocks(a, 1), spans.blocks(b, 1), strict=True):    # a row each
-        x, y = shingle_sets(one)[0], shingle_sets(two)[0]
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        found.append(DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common) and common > 0)
+    for low in range(0, len(a), 256):
+        for x, y in zip(_sets(a.slice(low, 256)), _sets(b.slice(low, 256)), strict=True):
+            both = np.concatenate([x, y])
+            both.sort(kind="stable")    # two sorted runs
+            common = int((both[1:] == both[:-1]).sum())
+            found.append(DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common) and common > 0)
     return pa.array(found, pa.bool_())
 
 
+def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    for block in spans.blocks(texts):
+        grams, firsts = shingle_sets(block)
+        for low, high in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            yield grams[low:high]
+
+
 def _signature(grams: np.ndarray) -> bytes:
     """A bitmap with a bit set for each member, of a power of two of bits, about twice as many as members."""
     bits = min(max(1 << (2 * len(grams) - 1).bit_length(), LEAST_BITS), MOST_BITS)
@@ -334,19 +406,22 @@ def _tile_work(best: bool):
 def tile_candidates(tiles: DataFrame, best: bool) -> DataFrame:
     """Pairs (a, b) that the bitmaps of rows (token, node, n, comp, bits) cannot rule out, each once.
 
-    Nodes of one token meet in the tile of their own size band (their home) and of the next larger. Tiles of more than
-    `TILE` rows are dealt to blocks, and each two blocks meet in a cell of their own.
+    Nodes of one token meet in its tile. Tiles of more than `TILE` rows are split by size bands of a ratio of 4/3: a node
+    is at home in its band and visits the next larger. Bands are dealt to blocks, and each two blocks meet in a cell.
     """
+    large = cut(tiles.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > TILE), "large-tiles")
+    zero = F.lit(0)
+    small = tiles.join(large.select("token"), "token", "left_anti").withColumns({
+        "band": zero, "low": zero, "high": zero, "block": zero, "home": F.lit(True)})
     band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
-    dealt = tiles.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", band + F.col("step"))
-    dealt = dealt.withColumn("home", F.col("step") == 0).drop("step")
-    large = cut(dealt.groupBy("token", "band").agg(F.count("*").alias("rows"), F.min("comp").alias("one"), F.max("comp").alias("two"))
-                .filter("rows > 1 and one <> two").select("token", "band", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")), "tiles")
-    dealt = dealt.join(large, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    keys = ["token", "band", "low", "high"]
-    dealt = (dealt.select(*keys, "block", "node", "n", "comp", "home", "bits").repartition(*keys).sortWithinPartitions(*keys))
+    split = (tiles.join(large.select("token"), "token").withColumn("step", F.explode(F.array(zero, F.lit(1))))
+             .withColumns({"band": band + F.col("step") + 1, "home": F.col("step") == 0}).drop("step"))
+    blocks = cut(split.groupBy("token", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks")), "large-bands")
+    split = split.join(blocks, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    split = split.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    keys, rest = ["token", "band", "low", "high"], ["block", "node", "n", "comp", "home", "bits"]
+    dealt = small.select(*keys, *rest).union(split.select(*keys, *rest)).repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(_tile_work(best), "a long, b long").distinct()
 
 
@@ -383,10 +458,8 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     stars = bands.join(leaders, "band").filter("a < node").select("a", F.col("node").alias("b")).distinct()
     links = sets.links(stars)
     known = components(links)
-    # 2: shingles of different nodes, then of different components
-    tokens = sets.prefixes().groupBy("token").agg(F.min("node").alias("one"), F.max("node").alias("two")).filter("one <> two")
-    shared = _bitmap(tokens.select(_place(F.col("token"))))
-    owned = sets.prefixes(shared).join(known, "node", "left").select("token", F.coalesce("comp", "node").alias("comp"))
+    # 2: shingles that different components have
+    owned = sets.prefixes().join(known, "node", "left").select("token", F.coalesce("comp", "node").alias("comp"))
     tokens = owned.groupBy("token").agg(F.min("comp").alias("one"), F.max("comp").alias("two")).filter("one <> two")
     tiles = cut(sets.prefixes(_bitmap(tokens.select(_place(F.col("token")))), bitmaps=True), "tiles")
     # 3: the most promising pairs, then all others

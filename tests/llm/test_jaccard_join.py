@@ -67,7 +67,8 @@ def test_awkward_rows(spark):
 
 def test_random_corpus_in_small_tiles(spark, monkeypatch):
     monkeypatch.setattr(op, "TILE", 4)
-    monkeypatch.setattr(op, "BANDS", 8)
+    monkeypatch.setattr(op, "FAN_IN", 2)
+    monkeypatch.setattr(op, "HELD", 500)
     rows = corpus(11, 120)
     assert found(frame(spark, rows, parts=4)) == brute(rows)
 
