@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,7 +147,11 @@ def suspects(docs: DataFrame, text: str, doc: str, twice: np.ndarray) -> DataFra
             at = found.per_document()
             a, b = places(found.one[at], found.two[at])
             at = at[(bits[a >> 3] >> (7 - (a & 7)) & bits[b >> 3] >> (7 - (b & 7)) & 1).astype(bool)]
-            at = at[np.lexsort((at, found.two[at], found.one[at]))]
+            # of a key's occurrences the one with the smallest id, and then line, leads
+            ranks = pc.rank(ids.slice(block.first, block.last - block.first), "ascending", null_placement="at_start",
+                            tiebreaker="dense").to_numpy()
+            place = at - found.firsts[found.rows[at]]
+            at = at[np.lexsort((place, ranks[found.rows[at]], found.two[at], found.one[at]))]
             new = np.ones(len(at), bool)
             new[1:] = (found.one[at][1:] != found.one[at][:-1]) | (found.two[at][1:] != found.two[at][:-1])
             first = np.flatnonzero(new)
@@ -302,7 +307,9 @@ OP8_SQL = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 split AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs),
 keyed AS (SELECT r, i, line, translate(
-    regexp_replace(regexp_replace(line, '^[ 	-]+', ''), '[ 	-]+$', ''),
+    regexp_replace(regexp_replace(line, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split),
 repeated AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
 stays AS (SELECT k.r, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n

@@ -92,9 +92,9 @@ def test_distances_against_numpy(spark):
         assert np.allclose([got[r[0]].distance for r in own], expected, rtol=1e-6, atol=1e-9)
         tested += 1
     assert tested >= 2
-    junk = [got[r[0]].kept for r in rows if r[0] % 13 == 0]
+    junk = [got[r[0]].kept for r in rows if r[0] % 13 == 0 and got[r[0]].distance is not None]
     clean = [got[r[0]].kept for r in rows if r[0] % 13 and r[0] % 17]
-    assert sum(junk) == 0 and np.mean(clean) > 0.97
+    assert len(junk) > 10 and sum(junk) == 0 and np.mean(clean) > 0.97
 
 
 def test_chi_square():
