@@ -20,6 +20,8 @@ from pricelake.session import cut
 TARGETS = ("price", "sales_velocity")
 ROUNDS = 300
 STEP = 0.05
+HELD_OUT = 0.1      # share of a training table's days that decide when boosting ends
+TOLERANCE = 0.001
 
 
 @dataclass(frozen=True)
@@ -60,11 +62,25 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=fixed.FORECAST_FEATURES, outputCol="features")
 
 
-def fit(frame: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP, depth: int = 5,
-        seed: int = fixed.SEED) -> GBTRegressionModel:
+def assembled(frame: DataFrame) -> DataFrame:
+    """The training table as trainers and backtests read it: features as a vector, both targets, the day."""
+    return _assembler().transform(frame).select("observed_date", "features", *TARGETS)
+
+
+def fit(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP, depth: int = 5,
+        seed: int = fixed.SEED, tolerance: float = TOLERANCE) -> GBTRegressionModel:
+    """At most `rounds` trees from a table made by `assembled`.
+
+    The newest tenth of the days is held out; boosting ends where a further tree improves its error by less
+    than `tolerance`. A table of a few days, of which none can be held out, trains on all rounds.
+    """
     booster = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="yhat",
                            maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
-    return booster.fit(_assembler().transform(frame).select("features", target))
+    until = ranks.nearest_quantile_by_count(table, "observed_date", 1 - HELD_OUT).first()["cutoff"]
+    held = table.select("features", target, (F.col("observed_date") > F.lit(until)).alias("held_out"))
+    if held.filter("held_out").isEmpty():
+        return booster.fit(held)
+    return booster.setValidationIndicatorCol("held_out").setParams(validationTol=tolerance).fit(held)
 
 
 def backtest_cutoff(frame: DataFrame) -> DataFrame:
@@ -72,15 +88,16 @@ def backtest_cutoff(frame: DataFrame) -> DataFrame:
     return ranks.nearest_quantile_by_count(frame, "observed_date", 0.8)
 
 
-def backtest(frame: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP) -> dict:
-    """Errors and the 5 % and 95 % residual quantiles on the last fifth of the timeline."""
-    cutoff = backtest_cutoff(frame).first()["cutoff"]
-    train = frame.filter(F.col("observed_date") <= F.lit(cutoff))
-    test = frame.filter(F.col("observed_date") > F.lit(cutoff))
+def backtest(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP) -> dict:
+    """Errors and the 5 % and 95 % residual quantiles on the last fifth of the timeline of a table made by
+    `assembled`."""
+    cutoff = backtest_cutoff(table).first()["cutoff"]
+    train = table.filter(F.col("observed_date") <= F.lit(cutoff))
+    test = table.filter(F.col("observed_date") > F.lit(cutoff))
     model = fit(train, target, rounds, step)
     actual = F.col(target)
     judged = cut(
-        model.transform(_assembler().transform(test)).select(
+        model.transform(test).select(
             (actual - F.col("yhat")).alias("residual"), actual.alias("actual")), "backtest")
     size, mae, mape = judged.agg(
         F.count("*"), F.avg(F.abs("residual")),
@@ -200,7 +217,7 @@ def train_and_forecast(observations: DataFrame, horizon: int = fixed.FORECAST_HO
                        rounds: int = ROUNDS, windows: Windows = Windows(), leaky: bool = False,
                        lake=None) -> DataFrame:
     """Backtest, refit on everything, forecast both targets; runs are journalled where a lake is given."""
-    frame = cut(training_frame(observations, windows, leaky), "training")
+    frame = cut(assembled(training_frame(observations, windows, leaky)), "training")
     # four independent trainings; their many small jobs overlap on the cluster
     tasks = {(job.__name__, target): (job, target) for job in (backtest, fit) for target in TARGETS}
     with ThreadPool(len(tasks)) as pool:

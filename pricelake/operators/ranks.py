@@ -1,10 +1,10 @@
 """Ranks over whole tables without a one-partition sort.
 
-Exact order statistics come from narrowing an interval of values around the wanted rank: a quantile sketch with
+Exact order statistics come from narrowing an interval of values around the wanted ranks: a quantile sketch with
 a guaranteed rank error gives a smaller interval, one aggregation counts what lies below it, on its ends and
 inside, and the loop goes on strictly inside until few rows are left. A value that holds a large share of the
 rows can only be an end, where it is counted and answered. Driver and tasks see sketches, counts and at most
-ROWS_AT_ONCE values, whatever the size of the data.
+LOOK_UP values, whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -14,59 +14,57 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ERROR = 0.002
-ROWS_AT_ONCE = 100_000
+LOOK_UP = 1_000            # values of the last interval that are looked at one by one
+BUCKET_ROWS = 50_000       # rows that one task numbers in dense_ids, about
 
 
 def values_at_ranks(df: DataFrame, column: str, wanted: list[int]) -> list[float | None]:
-    """The exact values at 0-based ranks of the non-null values in ascending order; None past the end.
+    """The exact values at 0-based ranks of the values in ascending order; None past the end.
 
-    `df` is read several times and should be a stored table where it is dear to compute.
+    Nulls and NaN have no rank. Ranks next to each other are narrowed together. `df` is read several times and
+    should be a stored table where it is dear to compute.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    value = F.col(column).cast("double")
+    values = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     total = values.count()
-    if total <= ROWS_AT_ONCE:
-        return _look_up(values, 0, wanted)
-    return [_narrow(values, total, rank) if rank < total else None for rank in wanted]
-
-
-def _look_up(values: DataFrame, below: int, wanted: list[int]) -> list[float | None]:
-    counts = sorted(tuple(r) for r in values.groupBy("v").agg(F.count("*")).collect())
-    found: list[float | None] = []
-    for rank in wanted:
-        seen, answer = below, None
-        for value, n in counts:
-            seen += n
-            if rank < seen:
-                answer = value
-                break
-        found.append(answer)
-    return found
-
-
-def _narrow(values: DataFrame, total: int, rank: int) -> float | None:
-    below, inside = 0, values
-    while total > ROWS_AT_ONCE:
-        position = (rank - below) / total
-        probes = [max(0.0, position - 2 * SKETCH_ERROR), min(1.0, position + 2 * SKETCH_ERROR)]
+    found: dict[int, float] = {}
+    ranks = sorted({rank for rank in wanted if rank < total})
+    while ranks:
+        near = [rank for rank in ranks if rank - ranks[0] < len(ranks)]
+        ranks = ranks[len(near):]
+        found |= _narrow(values, total, near)
+    return [found.get(rank) for rank in wanted]
+
+
+def _narrow(values: DataFrame, total: int, wanted: list[int]) -> dict[int, float]:
+    """Values at neighbouring ranks."""
+    below, inside, found = 0, values, {}
+    v = F.col("v")
+    while wanted and total > LOOK_UP:
+        first, last = ((rank - below) / total for rank in (wanted[0], wanted[-1]))
+        probes = [max(0.0, first - 2 * SKETCH_ERROR), min(1.0, last + 2 * SKETCH_ERROR)]
         low, high = inside.approxQuantile("v", probes, SKETCH_ERROR)
-        v = F.col("v")
         under, at_low, between, at_high = inside.agg(
             F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v < high)),
             F.count_if((v == high) & (v > low))).first()
-        if rank < below + under or rank >= below + under + at_low + between + at_high:
+        if wanted[0] < below + under or wanted[-1] >= below + under + at_low + between + at_high:
             raise ArithmeticError("rank outside the interval of the sketch")
-        if rank < below + under + at_low:
-            return low
-        if rank >= below + under + at_low + between:
-            return high
-        below, total = below + under + at_low, between
+        start = below + under + at_low
+        found |= {rank: low for rank in wanted if rank < start}
+        found |= {rank: high for rank in wanted if rank >= start + between}
+        wanted = [rank for rank in wanted if start <= rank < start + between]
+        below, total = start, between
         inside = inside.filter((v > low) & (v < high))
-    return _look_up(inside, below, [rank])[0]
+    if wanted:
+        for value, n in sorted(tuple(r) for r in inside.groupBy("v").agg(F.count("*")).collect()):
+            found |= {rank: value for rank in wanted if below <= rank < below + n}
+            below += n
+    return found
 
 
 def quantile(df: DataFrame, column: str, share: float, n: int | None = None) -> float | None:
     """Exact quantile with linear interpolation between neighbouring ranks."""
-    n = df.filter(F.col(column).isNotNull()).count() if n is None else n
+    n = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count() if n is None else n
     if not n:
         return None
     position = share * (n - 1)
@@ -113,13 +111,14 @@ def top_share(df: DataFrame, column: str, share: float) -> tuple[int, float | No
     return budget, threshold, above + (ties + 1) / 2 <= budget
 
 
-def dense_ids(df: DataFrame, order: str, name: str, buckets: int = 1024) -> DataFrame:
+def dense_ids(df: DataFrame, order: str, name: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Number rows 1..n in the order of a unique numeric column.
 
-    Rows go to buckets between quantiles of the column, each bucket numbers its own rows, and the bucket
-    sizes (at most `buckets` counts) give the offsets. The boundaries are literals, so both reads of the
-    input agree on who is where.
+    Rows go to buckets of about `bucket_rows` between quantiles of the column, each bucket numbers its own
+    rows, and the bucket sizes give the offsets. The boundaries are literals, so both reads of the input
+    agree on who is where.
     """
+    buckets = df.count() // bucket_rows + 2
     probes = [i / buckets for i in range(1, buckets)]
     keyed = df.withColumn("_order", F.col(order).cast("double"))
     bounds = sorted(set(keyed.approxQuantile("_order", probes, 1 / (4 * buckets))))
@@ -135,6 +134,6 @@ def dense_ids(df: DataFrame, order: str, name: str, buckets: int = 1024) -> Data
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
     return (
         placed.withColumn("_within", within)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .select((F.col("_offset") + F.col("_within")).cast("bigint").alias(name), *df.columns)
     )

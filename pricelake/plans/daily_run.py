@@ -12,7 +12,6 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pricelake import fixed_values as fixed
 from pricelake.ml import anomaly, forecast, neighbours, segments
@@ -46,8 +45,8 @@ class Settings:
 
 
 def _last(lake: Lake, dataset: str, key: str, load_date: str) -> DataFrame:
-    landed = lake.landed(SOURCE, dataset, load_date)
-    return keep_last(landed, [key], [ORDINAL]).drop(ORDINAL)
+    landed = lake.landed(SOURCE, dataset, load_date, with_batch=True)
+    return keep_last(landed, [key], ["batch_id", ORDINAL]).drop("batch_id", ORDINAL)
 
 
 def to_bronze(lake: Lake, load_date: str) -> dict[str, int]:
@@ -58,11 +57,9 @@ def to_bronze(lake: Lake, load_date: str) -> dict[str, int]:
         marked = contract.annotate(_last(lake, dataset, key, load_date), check_unique=False)
         valid, bad = contract.parts(cut(marked, f"{dataset}_checked"))
         rejected += lake.quarantine(bad, SOURCE, dataset, load_date)
-        counts[dataset] = lake.write(valid.withColumn("dt", F.lit(load_date)), "bronze", dataset,
-                                     partition_by=["dt"])
+        counts[dataset] = lake.write(valid, "bronze", dataset, f"dt={load_date}")
     time = normalise_time(_last(lake, "time", "time_id", load_date))
-    counts["time"] = lake.write(time.withColumn("dt", F.lit(load_date)), "bronze", "time",
-                                partition_by=["dt"])
+    counts["time"] = lake.write(time, "bronze", "time", f"dt={load_date}")
     return counts | {"rejected": rejected}
 
 

@@ -162,12 +162,16 @@ def product_performance(facts: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def category_daily(facts: DataFrame, dim: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Rollup per category and day. The calendar joins the rollup, not the facts."""
+    """Rollup per category and day. The calendar joins the rollup, not the facts.
+
+    At the grain of the facts, one row per product and day, rows are products, so all aggregates combine
+    before the shuffle and no product is moved.
+    """
     rolled = (
         facts.join(dim.select("product_sk", "category"), "product_sk")
         .groupBy("category", "date_sk")
         .agg(
-            F.count_distinct("product_nk").alias("products_observed"),
+            F.count("*").alias("products_observed"),
             F.avg("price").alias("avg_price"),
             F.min("price").alias("min_price"),
             F.max("price").alias("max_price"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.registered.entries import ENTRIES, Entry
 from pricelake.registered import lake_queries, model_queries, stream_queries  # noqa: F401
-from pricelake.registered import serving_queries, warehouse_queries  # noqa: F401
+from pricelake.registered import serving_queries, warehouse_queries, written_queries  # noqa: F401
 from pricelake.sources.trade_feed import feed_of
 
 

@@ -106,7 +106,8 @@ def export_of(feed: TradeFeed) -> DataFrame:
         .alias("initial_price"),
         F.when(key % 5 == 0, "[]").when(key % 9 == 0, "not json").when(key % 13 != 0, quoted)
         .alias("categories"),
-        F.when(key % 6 != 0, F.col("p_size").cast("double") / 7).alias("rating"),
+        F.when(key % 6 != 0, F.when(key % 10 == 3, "nan").otherwise(
+            (F.col("p_size").cast("double") / 7).cast("string"))).alias("rating"),
         F.concat(F.lit("https://img.example/"), key.cast("string")).alias("image_url"),
         F.concat(F.lit("A"), key.cast("string")).alias("asin"),
         F.concat(F.lit("https://shop.example/"), key.cast("string")).alias("url"),
@@ -118,7 +119,7 @@ select p_partkey as row, p_name as name,
        case when p_partkey % 7 <> 0 and p_partkey % 11 <> 0 then round(p_retailprice, 2)
             when p_partkey % 14 = 0 then null
             when p_partkey % 77 <> 11 then round(p_retailprice + 1, 2) end as base_price,
-       case when p_partkey % 6 <> 0 then cast(p_size as double) / 7 end as base_rating,
+       case when p_partkey % 6 <> 0 and p_partkey % 10 <> 3 then cast(p_size as double) / 7 end as base_rating,
        case when p_partkey % 4 <> 0 then p_brand when p_partkey % 8 = 0 then 'Unbranded'
             when p_partkey % 3 = 0 then 'Unbranded' else 'Maker' end as brand,
        case when p_partkey % 5 = 0 or p_partkey % 9 = 0 or p_partkey % 13 = 0
@@ -156,7 +157,7 @@ def catalog_brand(feed: TradeFeed) -> DataFrame:
 def catalog_impute(feed: TradeFeed) -> DataFrame:
     rows = export_of(feed).select(
         "row", onboarding.price_of(F.col("final_price"), F.col("initial_price")).alias("base_price"),
-        (F.col("rating")).alias("base_rating"))
+        F.col("rating").try_cast("double").alias("base_rating"))
     return onboarding.impute(rows)
 
 

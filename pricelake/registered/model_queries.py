@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelake import fixed_values as fixed
 from pricelake.ml import anomaly, forecast, neighbours, segments
 from pricelake.ml.profile import standardise
 from pricelake.operators import features
@@ -15,12 +16,6 @@ from pricelake.registered.entries import register
 from pricelake.session import cut
 from pricelake.sources.trade_feed import TradeFeed
 
-# Few parts have thirty observations, and the comparison run has little time: a shorter long window and
-# fewer boosting rounds than the defaults. Every part with enough observations takes part.
-WINDOWS = forecast.Windows(short=7, long=14)
-ROUNDS = 12
-
-
 def _once(feed: TradeFeed, name: str, make):
     """Model outputs that several queries read are made once per feed."""
     made = feed.__dict__.setdefault("_made", {})
@@ -109,27 +104,62 @@ def recommend_metrics(feed: TradeFeed) -> DataFrame:
 
 
 # ---- forecasts ----
+# A part has few days, a supplier has hundreds: the forecasts are those of the suppliers' daily mean price and
+# sold quantity, with the library's windows and rounds.
+SERIES_SQL = """
+select l_suppkey as product_id, cast(l_shipdate as date) as observed_date, avg(l_extendedprice) as price,
+       sum(l_quantity) as sales_velocity, avg(l_discount) * 100 as discount_percentage
+from lineitem group by 1, 2"""
+
+
+def supplier_days(feed: TradeFeed) -> DataFrame:
+    return _once(feed, "supplier_days", lambda: cut(
+        feed.table("lineitem").groupBy(
+            F.col("l_suppkey").alias("product_id"), F.col("l_shipdate").cast("date").alias("observed_date"))
+        .agg(F.avg(F.col("l_extendedprice").cast("double")).alias("price"),
+             F.sum(F.col("l_quantity").cast("double")).alias("sales_velocity"),
+             (F.avg(F.col("l_discount").cast("double")) * 100).alias("discount_percentage")), "supplier_days"))
+
+
 def training(feed: TradeFeed) -> DataFrame:
-    return forecast.training_frame(feed.observations, WINDOWS)
+    return forecast.training_frame(supplier_days(feed))
+
+
+TRAINING_SQL = f"""
+select *, extract(isodow from observed_date) as day_of_week, month(observed_date) as month_num from (
+  select *, lag(price, 1) over w as price_lag_1, lag(price, 7) over w as price_lag_7,
+         avg(price) over w7 as price_ma_7, avg(price) over w30 as price_ma_30,
+         stddev_samp(price) over w7 as price_std_7, lag(sales_velocity, 1) over w as velocity_lag_1,
+         avg(sales_velocity) over w7 as velocity_ma_7, row_number() over w as place
+  from ({SERIES_SQL})
+  window w as (partition by product_id order by observed_date),
+         w7 as (partition by product_id order by observed_date rows between 7 preceding and 1 preceding),
+         w30 as (partition by product_id order by observed_date rows between 30 preceding and 1 preceding))
+where place > 30"""
 
 
-@register("backtest_cutoff", "cutoff:t", """
+@register("forecast_training_frame", "product_id:i observed_date:t price:d sales_velocity:d price_lag_1:d "
+          "price_lag_7:d price_ma_7:d price_ma_30:d price_std_7:d velocity_lag_1:d velocity_ma_7:d "
+          "discount_percentage:d day_of_week:i month_num:i", TRAINING_SQL)
+def forecast_training_frame(feed: TradeFeed) -> DataFrame:
+    """What the trainers read: windows end the day before."""
+    return training(feed)
+
+
+@register("backtest_cutoff", "cutoff:t", f"""
 select cutoff from (
   select observed_date as cutoff, row_number() over (order by observed_date) - 1 as place,
-         round((count(*) over () - 1) * 0.8) as wanted
-  from features where price_lag_1 is not null and price_lag_7 is not null and price_ma_7 is not null
-    and price_std_7 is not null and velocity_lag_1 is not null and velocity_ma_7 is not null)
+         round((count(*) over () - 1) * 0.8) as wanted from ({TRAINING_SQL}))
 where place = wanted""")
 def backtest_cutoff(feed: TradeFeed) -> DataFrame:
-    complete = feed.features.dropna(subset=["price_lag_1", "price_lag_7", "price_ma_7", "price_std_7",
-                                            "velocity_lag_1", "velocity_ma_7"])
-    return forecast.backtest_cutoff(complete)
+    """On the frame that the trainers use."""
+    return forecast.backtest_cutoff(training(feed))
 
 
 @register("forecast_backtest_metrics", "target:s cutoff:t rows_tested:i mae:d mape:d low:d high:d")
 def forecast_backtest_metrics(feed: TradeFeed) -> DataFrame:
-    frame = cut(training(feed), "training")
-    rows = [forecast.backtest(frame, target, ROUNDS) for target in forecast.TARGETS]
+    table = cut(forecast.assembled(training(feed)), "training")
+    rows = [forecast.backtest(table, target) for target in forecast.TARGETS]
     order = ["target", "cutoff", "rows_tested", "mae", "mape", "low", "high"]
     return feed.spark.createDataFrame(
         [tuple(r[c] for c in order) for r in rows],
@@ -141,8 +171,7 @@ FORECAST = ("product_id:i forecast_date:t target:s yhat:d yhat_lower:d yhat_uppe
 
 
 def forecasts(feed: TradeFeed) -> DataFrame:
-    return _once(feed, "forecasts", lambda: cut(forecast.train_and_forecast(
-        feed.observations, rounds=ROUNDS, windows=WINDOWS), "forecasts"))
+    return _once(feed, "forecasts", lambda: cut(forecast.train_and_forecast(supplier_days(feed)), "forecasts"))
 
 
 @register("forecast_price", FORECAST)
@@ -163,9 +192,59 @@ def forecast_union(feed: TradeFeed) -> DataFrame:
 
 
 @register("forecast_short_series", "product_id:i rows:i", """
-select product_id, count(*) as rows from observations group by 1 having count(*) < 14""")
+select product_id, count(*) as rows from observations group by 1 having count(*) < 30""")
 def forecast_short_series(feed: TradeFeed) -> DataFrame:
-    return forecast.short_series(feed.observations, WINDOWS)
+    return forecast.short_series(feed.observations)
+
+
+GIVEN_FORECAST_SQL = f"""
+select product_id, observed_date as forecast_date, t.target, price as yhat, price * 0.9 as yhat_lower,
+       price * 1.1 as yhat_upper, 'given' as model_run_id
+from ({SERIES_SQL}), (values ('price'), ('sales_velocity')) as t(target)"""
+
+
+def given_forecasts(feed: TradeFeed) -> DataFrame:
+    """Forecasts that SQL has too: of each day its own price."""
+    price = F.col("price")
+    return supplier_days(feed).select(
+        "product_id", F.col("observed_date").alias("forecast_date"),
+        F.explode(F.array(*map(F.lit, forecast.TARGETS))).alias("target"), price.alias("yhat"),
+        (price * 0.9).alias("yhat_lower"), (price * 1.1).alias("yhat_upper"), F.lit("given").alias("model_run_id"),
+        F.lit(1).alias("not_shown"))
+
+
+@register("forecast_union_given", FORECAST, GIVEN_FORECAST_SQL)
+def forecast_union_given(feed: TradeFeed) -> DataFrame:
+    parts = [given_forecasts(feed).filter(F.col("target") == t) for t in forecast.TARGETS]
+    return warehouse.publish("ml_forecast", reduce(DataFrame.unionByName, parts))
+
+
+@register("srv_forecast_given", "forecast_date:t yhat:d yhat_lower:d yhat_upper:d model_run_id:s", f"""
+select * from ({GIVEN_FORECAST_SQL}) where product_id = 3 and target = 'price'""")
+def srv_forecast_given(feed: TradeFeed) -> DataFrame:
+    return serving.forecast(given_forecasts(feed), 3)
+
+
+@register("srv_recommendations_given", "product_id:i rank:i similarity:d reason:s product_name:s category:s "
+          "brand:s avg_price:d avg_rating:d image_url:s", f"""
+with units as materialized ({UNITS})
+select r.recommended_product_id as product_id, r.rank, r.similarity, r.reason, p.product_name, p.category,
+       p.brand, p.avg_price, p.avg_rating, p.image_url
+from ({RECOMMEND_SQL}) r join performance p on p.product_id = r.recommended_product_id
+where r.product_id = 11""")
+def srv_recommendations_given(feed: TradeFeed) -> DataFrame:
+    return serving.recommendations(neighbours.recommend(banded(feed)), feed.performance, 11)
+
+
+@register("segment_labels", "product_id:i segment_id:i segment_name:s", """
+select product_id, bucket as segment_id,
+       list_extract([LABELS], cast(dense_rank() over (order by level, bucket) as int)) as segment_name
+from (select product_id, product_id % 4 as bucket from profile) join (
+  select product_id % 4 as bucket, avg(avg_price) as level from profile group by 1) using (bucket)""".replace(
+    "LABELS", ", ".join(f"'{name}'" for name in fixed.SEGMENT_LABELS)))
+def segment_labels(feed: TradeFeed) -> DataFrame:
+    """The names of given clusters, by the rank of their mean price."""
+    return segments.label_by_price(profile(feed).withColumn("segment_id", F.col("product_id") % 4))
 
 
 # ---- anomalies ----
@@ -206,6 +285,36 @@ def ml_anomaly(feed: TradeFeed) -> DataFrame:
     return warehouse.publish("ml_anomaly", detected(feed))
 
 
+GIVEN_ANOMALY_SQL = """
+select product_id, observed_date, price, price_pct_change, round(robust_z, 3) as robust_z,
+       round(abs(price_pct_change) / 1000, 4) as iforest_score,
+       case when zscore_flag and price_pct_change > 40 then 'price_shock_multivariate'
+            when zscore_flag then 'price_shock' else 'contextual' end as anomaly_type, 'given' as model_run_id
+from flagged where zscore_flag or price_pct_change > 40"""
+
+
+def given_anomalies(feed: TradeFeed) -> DataFrame:
+    """The ensemble over z flags and flags that SQL has too in place of the forest's."""
+    flagged = zscore_flags(feed).withColumns({
+        "iforest_flag": F.col("price_pct_change") > 40,
+        "iforest_score": F.round(F.abs("price_pct_change") / 1000, 4)})
+    return anomaly.ensemble(flagged).withColumn("model_run_id", F.lit("given"))
+
+
+@register("ml_anomaly_labels", KEY + "price:d price_pct_change:d robust_z:d iforest_score:d anomaly_type:s "
+          "model_run_id:s", GIVEN_ANOMALY_SQL)
+def ml_anomaly_labels(feed: TradeFeed) -> DataFrame:
+    return warehouse.publish("ml_anomaly", given_anomalies(feed))
+
+
+@register("srv_anomalies_given", "product_id:i product_name:s category:s observed_date:t price:d "
+          "price_pct_change:d robust_z:d iforest_score:d anomaly_type:s", f"""
+select a.*, p.product_name, p.category from ({GIVEN_ANOMALY_SQL}) a
+join performance p using (product_id) order by abs(robust_z) desc, product_id, observed_date limit 50""")
+def srv_anomalies_given(feed: TradeFeed) -> DataFrame:
+    return serving.anomalies(given_anomalies(feed), feed.performance)
+
+
 # ---- the read side of model outputs ----
 @register("srv_forecast", "forecast_date:t yhat:d yhat_lower:d yhat_upper:d model_run_id:s")
 def srv_forecast(feed: TradeFeed) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.functions import dates
@@ -15,8 +15,21 @@ SOURCE = "retail_catalog"
 DATASETS = ("products", "price_facts", "time")
 
 
-def read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
-    """One dataset with its explicit schema, columns matched by header; a missing file raises."""
+def row_position() -> Column:
+    """Where a row stands in a dataset of several files: file by path, part of the file, place in that part.
+
+    Spark reads large files first, so a running number alone does not follow the files' order.
+    """
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def read_csv(spark: SparkSession, path: str, dataset: str, position: str | None = None) -> DataFrame:
+    """One dataset with its explicit schema, columns matched by header; a missing file raises.
+
+    `position` names a further column that orders the rows as they stand in the files.
+    """
+    more = [row_position().alias(position)] if position else []
     declared = schema(dataset)
     header = spark.read.option("header", True).csv(path).columns
     by_name = {f.name: f for f in declared.fields}
@@ -24,8 +37,8 @@ def read_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     unknown = [c for c in header if c not in by_name]
     if unknown:  # extra columns: read all as text, keep the declared ones
         text = spark.read.option("header", True).csv(path)
-        return text.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ordered.fields])
-    return spark.read.option("header", True).schema(ordered).csv(path)
+        return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in ordered.fields], *more)
+    return spark.read.option("header", True).schema(ordered).csv(path).select("*", *more)
 
 
 def rebase_dates(time: DataFrame, as_of: dt.date) -> DataFrame:
@@ -48,10 +61,9 @@ def extract(lake: Lake, folder: str, load_date: str, rebase_to: dt.date | None =
     manifests = []
     for dataset in DATASETS:
         path = f"{folder.rstrip('/')}/{names[dataset]}"
-        frame = read_csv(lake.spark, path, dataset)
+        frame = read_csv(lake.spark, path, dataset, "_ordinal")
         if dataset == "time" and rebase_to is not None:
             frame = rebase_dates(frame, rebase_to)
-        frame = frame.withColumn("_ordinal", F.monotonically_increasing_id())
         manifests.append(lake.land(frame, SOURCE, dataset, load_date,
                                    {"origin": path, "mode": "batch"}))
     return manifests

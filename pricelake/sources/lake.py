@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import json
 import uuid
 from dataclasses import dataclass
 
@@ -23,9 +22,9 @@ LAYERS = ("raw", "bronze", "silver", "gold", "warehouse", "state")
 
 
 def schema_fingerprint(df: DataFrame) -> str:
-    """16 hex digits over the column names and types, whatever the column order."""
-    payload = json.dumps(dict(df.dtypes), sort_keys=True)
-    return hashlib.sha256(payload.encode()).hexdigest()[:16]
+    """The first half of the MD5 digest of the columns as DDL, a line each, in the order of their names."""
+    columns = sorted(f"`{field.name}` {field.dataType.simpleString().upper()}" for field in df.schema)
+    return hashlib.md5("\n".join(columns).encode(), usedforsecurity=False).hexdigest()[:16]
 
 
 @dataclass(frozen=True)
@@ -41,12 +40,22 @@ class Lake:
             raise ValueError(f"unknown lake layer {layer!r}; expected one of {LAYERS}")
         return "/".join([self.root.rstrip("/"), layer, *parts])
 
+    def _located(self, layer: str, *parts: str):
+        """Path and file system, as Hadoop has them."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(layer, *parts))
+        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def exists(self, layer: str, *parts: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path(layer, *parts))
-        system = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        target, system = self._located(layer, *parts)
         return system.exists(target)
 
+    def remove(self, layer: str, *parts: str) -> None:
+        """Remove one dataset or partition; nothing happens where there is none."""
+        if not parts:
+            raise ValueError("a whole layer is never removed")
+        target, system = self._located(layer, *parts)
+        system.delete(target, True)
+
     def read(self, layer: str, *parts: str) -> DataFrame:
         """A dataset of the lake, lazily. Hive partitions become columns, and filters on them prune."""
         return self.spark.read.parquet(self.path(layer, *parts))
@@ -71,11 +80,10 @@ class Lake:
              params: dict[str, str] | None = None, batch_id: str = "0") -> DataFrame:
         """Land one immutable batch raw and record its manifest; returns the one-row manifest.
 
-        Landing the same batch of the same day again replaces that batch and nothing else. Two batches
-        of one day stand side by side.
+        Landing the same batch of the same day again replaces that batch and nothing else, also by an
+        empty one. Two batches of one day stand side by side; they follow each other by `batch_id`.
         """
-        batch = df.withColumn("dt", F.lit(load_date)).withColumn("batch_id", F.lit(batch_id))
-        rows = self.write(batch, "raw", source, dataset, partition_by=["dt", "batch_id"])
+        rows = self.write(df, "raw", source, dataset, f"dt={load_date}", f"batch_id={batch_id}")
         manifest = self.spark.createDataFrame(
             [(source, dataset, load_date, rows, schema_fingerprint(df),
               dt.datetime.now(dt.UTC), params or {})], schema("manifests"))
@@ -89,13 +97,17 @@ class Lake:
     def manifests(self) -> DataFrame:
         return self.read("state", "manifests").select(*schema("manifests").fieldNames())
 
-    def landed(self, source: str, dataset: str, load_date: str) -> DataFrame:
-        """All batches landed for one day; other days are not even listed."""
-        return self.read("raw", source, dataset, f"dt={load_date}").drop("batch_id")
+    def landed(self, source: str, dataset: str, load_date: str, with_batch: bool = False) -> DataFrame:
+        """All batches landed for one day, `with_batch` with their `batch_id` as text; other days are not
+        even listed."""
+        rows = self.read("raw", source, dataset, f"dt={load_date}")
+        return rows.withColumn("batch_id", F.col("batch_id").cast("string")) if with_batch else rows.drop("batch_id")
 
     def quarantine(self, rejected: DataFrame, source: str, dataset: str, load_date: str) -> int:
-        """Keep rejected rows with reason and load date; an empty set leaves no files. Returns rows."""
+        """Keep rejected rows with reason and load date in place of those of an earlier run of the day; an
+        empty set leaves no files. Returns rows."""
         if rejected.isEmpty():
+            self.remove("raw", "_rejected", source, dataset, f"dt={load_date}")
             return 0
         kept = rejected.withColumn("_load_date", F.lit(load_date)).withColumn("dt", F.lit(load_date))
         return self.write(kept, "raw", "_rejected", source, dataset, partition_by=["dt"])

@@ -20,6 +20,7 @@ from pricelake.operators.dedup import keep_last
 from pricelake.operators.observations import daily_observations, normalise_time
 from pricelake.operators.scd2 import snapshot
 from pricelake.fixed_values import SNAPSHOT_CHECK_COLUMNS
+from pricelake.packaging import ship
 from pricelake.plans import warehouse
 from pricelake.session import cut
 
@@ -112,7 +113,7 @@ class TradeFeed:
 
     @cached_property
     def time(self) -> DataFrame:
-        return cut(normalise_time(self.raw_time()).coalesce(1), "time")
+        return cut(normalise_time(self.raw_time()), "time")
 
     def bronze_facts(self) -> tuple[DataFrame, DataFrame]:
         return PRICE_FACTS.split(self.last_facts(), check_unique=False)
@@ -199,5 +200,5 @@ def feed_of(spark: SparkSession, folder: str) -> TradeFeed:
     """One feed per session and folder, so that shared layers are written once."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _feeds:
-        _feeds[key] = TradeFeed(spark, folder)
+        _feeds[key] = TradeFeed(ship(spark), folder)
     return _feeds[key]

@@ -45,16 +45,6 @@ def land_incrementally(records: DataFrame, lake: Lake, source: str, dataset: str
     _run(records, land, lake.path("state", "streams", source, dataset))
 
 
-def land_with_watermark(records: DataFrame, path: str, checkpoint: str, key: str = "id",
-                        created: str = "created", delay: str = "3 days") -> None:
-    """The stateful alternative: keys are remembered for `delay` of event time, and what comes later than
-    that is dropped by Spark. Cheaper per batch; for sources that promise no later records."""
-    fresh = records.withWatermark(created, delay).dropDuplicatesWithinWatermark([key])
-    (fresh.writeStream.format("parquet").option("path", path)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-     .awaitTermination())
-
-
 def load_late_window(facts: DataFrame, lake: Lake, table: str,
                      days: int = fixed.LATE_ARRIVAL_DAYS, compat: bool = False) -> None:
     """Load a stream of facts (product_nk, date_sk, ...): a batch adds to or replaces the stored facts of

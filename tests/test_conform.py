@@ -51,11 +51,12 @@ def test_colours(spark, raw, colours):
 
 
 def test_conform_keeps_lineage(spark, sample_products):
-    rows = conform_products(sample_products).orderBy("product_id").collect()
-    assert [r["source_category"] for r in rows] == ["Fashion"] * 3
-    assert [r["brand"] for r in rows] == ["Teva", "Buck", "House Brand"]
-    assert [r["audience"] for r in rows] == ["Womens", "Unisex", "Unisex"]
-    assert [r["color_options"] for r in rows] == ["Grey/White|Navy", None, "Camo"]
+    rows = conform_products(sample_products, lexicon=["Pump", "Brake"]).orderBy("product_id").collect()
+    assert [(r["source_category"], r["source_brand"]) for r in rows] == [
+        ("Spares", "Nordwind"), ("Spares", "Nordwind"), ("Tools", None)]
+    assert [r["brand"] for r in rows] == ["Brake", "House Brand", "Pump"]
+    assert [r["audience"] for r in rows] == ["Kids", "Unisex", "Unisex"]
+    assert [r["color_options"] for r in rows] == ["Red|Matt Black", None, "Olive"]
 
 
 def test_conform_trims_all_white_space(spark, sample_products):

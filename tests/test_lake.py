@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelake.operators.checks import CheckFailed
+from pricelake.operators.dedup import keep_last
 from pricelake.operators.observations import orphan_facts
 from pricelake.schemas import schema
 from pricelake.sources import catalog_files, open_prices
@@ -159,3 +160,31 @@ def test_orphans_carry_their_reason(spark):
     time = spark.createDataFrame([(1, dt.date(2026, 1, 1))], "time_id bigint, full_date date")
     assert [(r["fact_id"], r["_dq_reason"]) for r in orphan_facts(facts, time).collect()] == [
         (2, "orphan_time_id")]
+
+
+def test_empty_batch_replaces_a_landed_day(spark, lake):
+    lake.land(rows(spark, 1, 2), "test", "d", "2026-01-01")
+    lake.land(rows(spark, 1, 2).limit(0), "test", "d", "2026-01-01")
+    assert lake.landed("test", "d", "2026-01-01").count() == 0
+    assert [r["rows"] for r in lake.manifests().collect()] == [0]
+
+
+def test_corrected_day_leaves_no_stale_rejects(spark, lake):
+    bad = rows(spark, 1, 2).withColumn("_dq_reason", F.lit("gt_0:a"))
+    for day in ("2026-01-01", "2026-01-02"):
+        lake.quarantine(bad, "s", "d", day)
+    lake.quarantine(bad.limit(0), "s", "d", "2026-01-01")
+    assert {r["_load_date"] for r in lake.read("raw", "_rejected", "s", "d").collect()} == {"2026-01-02"}
+
+
+def test_last_row_follows_the_files_order(spark, lake, tmp_path):
+    """The second file is the larger one, which Spark reads first."""
+    folder = tmp_path / "in" / "products.csv"
+    folder.mkdir(parents=True)
+    header = "product_id,name,category,subcategory,brand,base_price,base_rating,image_url\n"
+    (folder / "part-0.csv").write_text(header + "1,old,c,s,b,1.0,4.0,u\n")
+    (folder / "part-1.csv").write_text(header + "".join(f"{i},new{i},c,s,b,1.0,4.0,u\n" for i in range(1, 400)))
+    frame = catalog_files.read_csv(spark, str(folder), "products", "_ordinal")
+    lake.land(frame, "s", "products", "2026-01-01")
+    last = keep_last(lake.landed("s", "products", "2026-01-01", with_batch=True), ["product_id"], ["batch_id", "_ordinal"])
+    assert {r["product_id"]: r["name"] for r in last.collect()}[1] == "new1"

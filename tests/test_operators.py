@@ -128,14 +128,14 @@ def test_category_path(spark, raw, path):
 def test_dense_ids_follow_the_order(spark):
     keys = random.Random(1).sample(range(10 ** 9), 5000)
     frame = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(7)
-    got = ranks.dense_ids(frame, "k", "id", buckets=16).collect()
+    got = ranks.dense_ids(frame, "k", "id", bucket_rows=300).collect()
     assert {r["k"]: r["id"] for r in got} == {k: i + 1 for i, k in enumerate(sorted(keys))}
     assert ranks.dense_ids(frame.limit(0), "k", "id").count() == 0
 
 
 @pytest.mark.parametrize("kind", ["smooth", "hot", "two_hot", "few"])
 def test_order_statistics_are_exact(spark, monkeypatch, kind):
-    monkeypatch.setattr(ranks, "ROWS_AT_ONCE", 300)
+    monkeypatch.setattr(ranks, "LOOK_UP", 100)
     random_ = np.random.default_rng(7)
     n = 6000
     smooth = random_.normal(size=n)
@@ -146,7 +146,8 @@ def test_order_statistics_are_exact(spark, monkeypatch, kind):
                                                                      1 + random_.random(n))),
         "few": random_.integers(0, 4, n).astype(float),
     }[kind]
-    frame = spark.createDataFrame([(float(v),) for v in values], "v double").cache()
+    missing = [(None,), (float("nan"),)] * 50
+    frame = spark.createDataFrame([(float(v),) for v in values] + missing, "v double").cache()
     ordered = np.sort(values)
     wanted = [0, n // 3, n // 2, int(n * 0.995), n - 1, n]
     assert ranks.values_at_ranks(frame, "v", wanted) == [

@@ -7,104 +7,111 @@ from pricelake.operators import checks, quality
 from pricelake.operators.contracts import PRICE_FACTS, PRODUCTS, REASON
 from pricelake.schemas import schema
 
-TODAY = dt.date(2026, 1, 10)
+SUNDAY = dt.date(2025, 6, 1)
+SOUND = dict(fact_id=501, product_id=33, time_id=20250601, price=7.25, original_price=7.25,
+             discount_percentage=0.0, availability="Low Stock", stock_level=40, rating=None, review_count=0,
+             sales_velocity=2.5, is_trending=False)
 
 
-def facts(spark, *changes):
-    base = {"fact_id": 1, "product_id": 1, "time_id": 1, "price": 10.0, "original_price": 12.0,
-            "discount_percentage": 16.7, "availability": "In Stock", "stock_level": 5, "rating": 4.2,
-            "review_count": 10, "sales_velocity": 1.0, "is_trending": True}
+def lines(spark, *faults):
+    """Sound fact rows, numbered from 501, each with its own faults."""
     declared = schema("price_facts")
-    rows = [tuple({**base, **c}[f] for f in declared.fieldNames()) for c in changes]
-    return spark.createDataFrame(rows, declared)
+    rows = [{**SOUND, "fact_id": 501 + i, **own} for i, own in enumerate(faults)]
+    return spark.createDataFrame([tuple(row[name] for name in declared.names) for row in rows], declared)
 
 
-def test_bad_rows_quarantined_good_rows_pass(spark):
-    valid, rejected = PRICE_FACTS.split(facts(
-        spark, {}, {"fact_id": 2, "price": -5.0}, {"fact_id": 3, "availability": "Maybe"}))
-    assert valid.count() == 1
-    assert {r["fact_id"]: r[REASON] for r in rejected.collect()} == {
-        2: "gt_0:price", 3: "isin:availability"}
+def reasons(frame):
+    return [row[REASON] for row in PRICE_FACTS.annotate(frame).orderBy("fact_id").collect()]
 
 
-def test_clean_batch_rejects_nothing(spark):
-    valid, rejected = PRICE_FACTS.split(facts(spark, {}, {"fact_id": 2}))
-    assert (valid.count(), rejected.count()) == (2, 0)
+@pytest.mark.parametrize("fault, reason", [
+    ({}, None), ({"price": 0.0}, "gt_0:price"), ({"availability": "Backorder"}, "isin:availability"),
+    ({"discount_percentage": 95.5}, "between_0_95:discount_percentage"), ({"rating": 5.5}, "between_0_5:rating"),
+    ({"is_trending": None}, "not_null:is_trending"), ({"time_id": -3}, "gt_0:time_id"),
+    ({"price": None, "review_count": -1}, "not_null:price"),
+])
+def test_a_row_is_rejected_for_its_first_fault(spark, fault, reason):
+    assert reasons(lines(spark, fault)) == [reason]
 
 
-def test_first_failing_rule_in_contract_order(spark):
-    rows = facts(spark, {"price": None, "stock_level": -1}, {"fact_id": 2, "rating": None})
-    reasons = {r["fact_id"]: r[REASON] for r in PRICE_FACTS.annotate(rows).collect()}
-    assert reasons == {1: "not_null:price", 2: None}
+def test_split_loses_no_row(spark):
+    faults = [{}, {"stock_level": -2}, {}, {"sales_velocity": None}, {}]
+    valid, rejected = PRICE_FACTS.split(lines(spark, *faults))
+    assert sorted(r["fact_id"] for r in valid.collect()) == [501, 503, 505]
+    assert sorted(r["fact_id"] for r in rejected.collect()) == [502, 504]
+    assert REASON not in valid.columns
 
 
-def test_repeated_keys_are_all_rejected(spark):
-    _, rejected = PRICE_FACTS.split(facts(spark, {}, {}, {"fact_id": 9}))
-    assert [r[REASON] for r in rejected.collect()] == ["unique:fact_id"] * 2
+def test_all_rows_of_a_repeated_key_go(spark):
+    assert reasons(lines(spark, {"fact_id": 9}, {"fact_id": 10}, {"fact_id": 9}, {"fact_id": 9})) == [
+        *["unique:fact_id"] * 3, None]
 
 
-def test_coercion_and_unknown_columns(spark, sample_products):
-    as_text = sample_products.select([F.col(c).cast("string").alias(c) for c in sample_products.columns])
-    as_text = as_text.withColumn("extra", F.lit(1)).withColumn(
-        "base_price", F.when(F.col("product_id") == "2", "cheap").otherwise(F.col("base_price")))
-    valid, rejected = PRODUCTS.split(as_text)
-    assert valid.columns == PRODUCTS.columns and dict(valid.dtypes)["base_price"] == "double"
-    assert [(r["product_id"], r["extra"], r[REASON]) for r in rejected.collect()] == [
-        ("2", 1, "coerce:base_price")]
+def test_text_is_coerced_and_unknown_columns_stay_with_rejects(spark, sample_products):
+    text = sample_products.select(*[F.col(c).cast("string") for c in sample_products.columns], F.lit("?").alias("note"))
+    broken = text.withColumn("base_rating", F.when(F.col("product_id") == "12", "good").otherwise(F.col("base_rating")))
+    valid, rejected = PRODUCTS.split(broken)
+    assert valid.columns == PRODUCTS.columns
+    assert {f.name: f.dataType.simpleString() for f in valid.schema}["base_rating"] == "double"
+    assert [(r["product_id"], r["note"], r[REASON]) for r in rejected.collect()] == [("12", "?", "coerce:base_rating")]
 
 
-def test_missing_column_rejects_the_batch(spark, sample_products):
-    valid, rejected = PRODUCTS.split(sample_products.drop("brand"))
-    assert valid.count() == 0 and valid.columns == PRODUCTS.columns
-    assert {r[REASON] for r in rejected.collect()} == {"missing_column:brand"}
+@pytest.mark.parametrize("column", ["category", "product_id"])
+def test_batches_without_a_column_are_rejected_whole(spark, sample_products, column):
+    valid, rejected = PRODUCTS.split(sample_products.drop(column))
+    assert (valid.count(), rejected.filter(F.col(REASON) == f"missing_column:{column}").count()) == (0, 3)
 
 
-def frame(spark, observed, original=None):
-    rows = [(1, observed, 10.0, original or 12.0, 16.7, 4.0), (2, observed, 20.0, original or 25.0, 20.0, 4.5)]
-    return spark.createDataFrame(rows, "product_id bigint, observed_date date, price double, "
-                                       "original_price double, discount_percentage double, rating double")
+def observed(spark, days_ago=0, **columns):
+    """Four observations of two products on two days."""
+    rows = [(p, SUNDAY - dt.timedelta(days=days_ago + d), 3.0 * p, 4.0 * p, 25.0, 2.0 + p) for p in (1, 2) for d in (0, 1)]
+    frame = spark.createDataFrame(rows, "product_id bigint, observed_date date, price double, "
+                                        "original_price double, discount_percentage double, rating double")
+    return frame.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
-def test_fresh_clean_data_scores_high(spark):
-    report = quality.quality_report(frame(spark, TODAY), TODAY).first()
-    assert report["composite_score"] > 0.95 and report["uniqueness"] == 1.0
+def report(frame, rejected=0):
+    return quality.quality_report(frame, SUNDAY, rejected).first()
 
 
-def test_stale_data_degrades_freshness_only(spark):
-    report = quality.quality_report(frame(spark, TODAY - dt.timedelta(days=60)), TODAY).first()
-    assert (report["freshness"], report["completeness"]) == (0.0, 1.0)
+@pytest.mark.parametrize("columns, dimension, value", [
+    ({}, "composite_score", 1.0), ({"price": "if(product_id = 1, null, price)"}, "completeness", 0.8333),
+    ({"product_id": "1"}, "uniqueness", 0.5), ({"product_id": "cast(null as bigint)"}, "uniqueness", 0.5),
+    ({"discount_percentage": "if(product_id = 1, 140.0, 10.0)"}, "validity", 0.5),
+    ({"original_price": "price / 2"}, "consistency", 0.0),
+])
+def test_each_dimension(spark, columns, dimension, value):
+    assert report(observed(spark, **columns))[dimension] == pytest.approx(value, abs=1e-4)
 
 
-def test_inconsistent_pricing(spark):
-    assert quality.quality_report(frame(spark, TODAY, 5.0), TODAY).first()["consistency"] == 0.0
+def test_age_counts_for_freshness_alone(spark):
+    by_age = {days: report(observed(spark, days)) for days in (-5, 0, 7, 300)}
+    assert by_age[-5]["freshness"] == by_age[0]["freshness"] == 1.0
+    assert 0 < by_age[7]["freshness"] < 1 and by_age[300]["freshness"] == 0.0
+    assert {r["completeness"] for r in by_age.values()} == {1.0}
 
 
-def test_future_days_and_empty_input(spark):
-    assert quality.quality_report(
-        frame(spark, TODAY + dt.timedelta(days=9)), TODAY).first()["freshness"] == 1.0
-    empty = quality.quality_report(frame(spark, TODAY).limit(0), TODAY).first()
-    assert (empty["completeness"], empty["composite_score"], empty["rows_evaluated"]) == (0.0, 0.0, 0)
-
-
-def test_null_keys_count_as_keys(spark):
-    rows = frame(spark, TODAY).withColumn("product_id", F.lit(None).cast("bigint"))
-    assert quality.dimensions(rows, TODAY).first()["uniqueness"] == 0.5
+def test_report_of_nothing_scores_nothing(spark):
+    empty = report(observed(spark).limit(0), rejected=11)
+    assert [empty[c] for c in ("completeness", "composite_score", "rows_evaluated", "rejected_rows")] == [0.0, 0.0, 0, 11]
 
 
 def test_gates(spark):
-    good = quality.quality_report(frame(spark, TODAY), TODAY)
-    assert quality.gate(good) >= 0.9 and quality.freshness_gate(good) == 1.0
-    stale = quality.quality_report(frame(spark, TODAY - dt.timedelta(days=20)), TODAY)
+    young, old = (quality.quality_report(observed(spark, days), SUNDAY) for days in (0, 90))
+    assert quality.gate(young) == quality.freshness_gate(young) == 1.0
     with pytest.raises(checks.CheckFailed, match="freshness"):
-        quality.freshness_gate(stale)
-
-
-def test_data_tests_report_violations(spark):
-    rows = spark.createDataFrame([(1, 5), (1, 6), (None, 7)], "a bigint, b bigint")
-    parent = spark.createDataFrame([(5,), (7,)], "k bigint")
-    assert checks.not_null(rows, "a").count() == 1
-    assert checks.unique(rows, "a").collect()[0]["n"] == 2
-    assert [r[0] for r in checks.relationships(rows, "b", parent, "k").collect()] == [6]
-    assert checks.unique_grain(rows, ["a", "b"]).isEmpty()
-    with pytest.raises(checks.CheckFailed, match="a unique"):
-        checks.require_empty({"a unique": checks.unique(rows, "a")})
+        quality.freshness_gate(old)
+    with pytest.raises(checks.CheckFailed, match="composite_score"):
+        quality.gate(young, floor=1.2)
+
+
+def test_checks_return_what_violates_them(spark):
+    children = spark.createDataFrame([("a", 1), ("b", 2), ("b", 4), (None, 4)], "name string, parent int")
+    parents = spark.createDataFrame([(1,), (2,)], "id int")
+    assert checks.not_null(children, "name").count() == 1
+    assert {r["name"]: r["n"] for r in checks.unique(children, "name").collect()} == {"b": 2}
+    assert {r[0] for r in checks.relationships(children, "parent", parents, "id").collect()} == {4}
+    assert checks.unique_grain(children, ["name", "parent"]).isEmpty()
+    checks.require_empty({"fine": parents.limit(0)})
+    with pytest.raises(checks.CheckFailed, match="name is unique"):
+        checks.require_empty({"fine": parents.limit(0), "name is unique": checks.unique(children, "name")})

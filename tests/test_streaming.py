@@ -24,14 +24,6 @@ def test_landing_keeps_every_key_once(spark, lake, tmp_path):
     assert sorted(r["id"] for r in lake.read("raw", "s", "d").collect()) == [1, 2, 3, 4]
 
 
-def test_watermark_variant(spark, tmp_path):
-    inbox, out = str(tmp_path / "inbox"), str(tmp_path / "out")
-    stream = deliver(spark, inbox, (1, (2026, 1, 1, 8), 1.0), (1, (2026, 1, 1, 8), 1.0),
-                     (2, (2026, 1, 2, 8), 2.0))
-    landing.land_with_watermark(stream, out, str(tmp_path / "ck"))
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2]
-
-
 @pytest.mark.parametrize("compat, expected", [
     (False, {(1, 20260225): 1.0, (1, 20260227): 9.0, (1, 20260301): 9.0, (2, 20260227): 9.0,
              (2, 20260228): 2.0}),
