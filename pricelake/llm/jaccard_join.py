@@ -38,6 +38,7 @@ TWICE_BITS, SHARD_BITS = 27, 20         # of the filter of shingles that two nod
 FAN_IN = 64                             # tasks whose filters meet in one place at a time
 HELD = 8_000_000                        # places of shingles that a task holds before it combines them
 TILE = 1024
+CELL = 512                              # nodes of each side whose pairs one task compares
 BAND_RATIO = 4 / 3
 LEAST_BITS, MOST_BITS = 64, 4096        # of a bitmap; about twice the set's size between
 
@@ -204,10 +205,31 @@ class Sets:
         return self.rows.mapInArrow(run, "token long, node long" + (", n long, bits binary" if bitmaps else ""))
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of the distinct pairs (a, b) of nodes whose sets are similar enough; exact."""
+        """Those of the distinct pairs (a, b) of nodes whose sets are similar enough; exact.
+
+        Pairs that hang together meet in one cell, or, where more than `CELL` nodes do, in a grid of cells; each text is
+        sent once to every cell that compares it, not with every pair.
+        """
         pairs = cut(pairs, "candidate-pairs")
-        wanted = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.nodes, "node")
-                     .select("node", F.col("doc").alias("chosen")), "candidate-nodes")
+        hangs = components(pairs)
+        sizes = hangs.groupBy("comp").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
+        placed = cut(hangs.join(sizes, "comp").join(self.nodes, "node").select(
+            "node", "comp", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("doc").alias("chosen")),
+            "candidate-nodes")
+        ends = [placed.select(F.col("node").alias(end), "comp", F.col("block").alias(f"block_{end}")) for end in "ab"]
+        cells = cut(pairs.join(ends[0], "a").join(ends[1].drop("comp"), "b").select(
+            "comp", F.least("block_a", "block_b").alias("low"), F.greatest("block_a", "block_b").alias("high"), "a", "b"), "cells")
+        keys = ["comp", "low", "high"]
+        sent = cells.select(*keys, F.explode(F.array("a", "b")).alias("node")).distinct()
+        nothing = F.lit(None)
+        rows = (sent.join(self._texts(placed.select("node", "chosen")), "node")
+                .select(*keys, F.lit(0).alias("kind"), F.col("node").alias("a"), nothing.cast("long").alias("b"), "text")
+                .union(cells.select(*keys, F.lit(1), "a", "b", nothing.cast("string"))))
+        dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "kind")
+        return cut(dealt.select(*keys, "a", "b", "text").mapInArrow(_compared, "a long, b long"), "links")
+
+    def _texts(self, wanted: DataFrame) -> DataFrame:
+        """(node, text) for rows (node, chosen): the text of each node's chosen document."""
         kept = by_batch(wanted, "place int", lambda batch: {"place": pa.array(
             _key(batch.column(0).to_numpy().view(np.uint64), batch.column(1)), pa.int32())})
         packed = self.spark.sparkContext.broadcast(_bitmap(kept))
@@ -220,12 +242,8 @@ class Sets:
                     "text": batch.column(1).take(picked)} if len(at) else None
 
         texts = by_batch(self.rows, f"node long, doc {self.kind}, text string", work)
-        texts = (texts.join(wanted, "node").filter(F.col("doc").eqNullSafe(F.col("chosen"))).select("node", "text")
-                 .dropDuplicates(["node"]))
-        both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-                .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b"))
-        similar = F.arrow_udf(_similar, "boolean")
-        return cut(both.filter(similar(F.col("text_a"), F.col("text_b"))).select("a", "b"), "links")
+        return (texts.join(wanted, "node").filter(F.col("doc").eqNullSafe(F.col("chosen"))).select("node", "text")
+                .dropDuplicates(["node"]))
 
 
 def _standing_of(chosen):
@@ -291,22 +309,43 @@ def _summary(batch: pa.RecordBatch) -> dict:
             "bands": lists}
 
 
-def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
-    found = []
-    for low in range(0, len(a), 256):
-        for x, y in zip(_sets(a.slice(low, 256)), _sets(b.slice(low, 256)), strict=True):
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")    # two sorted runs
-            common = int((both[1:] == both[:-1]).sum())
-            found.append(DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common) and common > 0)
-    return pa.array(found, pa.bool_())
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Similar pairs of rows (comp, low, high, a, b, text) in the order of their cells, a cell's texts before its pairs."""
+    cell, sets = None, {}
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
+        a, is_text = batch.column(3).to_numpy(), ~np.asarray(batch.column(4).is_valid())
+        b = batch.column(4).fill_null(0).to_numpy()
+        own = [[], []]
+        bounds = np.append(np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))), len(keys))
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if tuple(keys[low]) != cell:
+                cell, sets = tuple(keys[low]), {}
+            pairs_from = low + int(is_text[low:high].sum())
+            sets |= zip(a[low:pairs_from].tolist(), _sets(batch.column(5).slice(low, pairs_from - low)), strict=True)
+            for one, two in zip(a[pairs_from:high].tolist(), b[pairs_from:high].tolist(), strict=True):
+                if _similar(sets[one], sets[two]):
+                    own[0].append(one)
+                    own[1].append(two)
+        if own[0]:
+            yield pa.RecordBatch.from_pydict({"a": pa.array(own[0], pa.int64()), "b": pa.array(own[1], pa.int64())})
+
+
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """By intersecting two sorted arrays."""
+    if min(len(x), len(y)) < least_common(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")    # two sorted runs
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common > 0 and DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common)
 
 
 def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
     for block in spans.blocks(texts):
         grams, firsts = shingle_sets(block)
         for low, high in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
-            yield grams[low:high]
+            yield grams[low:high].copy()
 
 
 def _signature(grams: np.ndarray) -> bytes:

@@ -67,6 +67,7 @@ def test_awkward_rows(spark):
 
 def test_random_corpus_in_small_tiles(spark, monkeypatch):
     monkeypatch.setattr(op, "TILE", 4)
+    monkeypatch.setattr(op, "CELL", 3)
     monkeypatch.setattr(op, "FAN_IN", 2)
     monkeypatch.setattr(op, "HELD", 500)
     rows = corpus(11, 120)
