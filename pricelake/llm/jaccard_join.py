@@ -8,12 +8,12 @@ only made by intersecting two nodes' sorted shingle hashes. Candidates come in t
 2. Two sets that link share a shingle among the first quarter of each, in any common order. The order here puts
    shingles last that a twice-seen filter over all nodes has, so most texts have nothing to share in that quarter. Of the
    rest, only shingles that nodes of different components have there are kept.
-3. Nodes that share such a shingle meet in a tile. Bit counts of hashed bitmaps bound every intersection from above;
-   pairs of different components that the bound lets through are intersected, first the most promising of each two
-   components, then all that are left.
+3. Nodes that hang together by such shingles form a cluster. A cluster is cut into tiles by size bands of a ratio of 4/3,
+   and bands of more than `TILE` nodes into blocks; tiles of one band and of neighbouring bands meet in cells. Each text is
+   sent once to every cell of its tile. There, bit counts of hashed bitmaps bound every intersection from above; pairs of
+   different components that the bound lets through are intersected, sorted array with sorted array.
 
-Tiles of more than `TILE` rows are split into size bands, where smaller nodes also visit the next band, and each band into a
-grid of blocks, so a task's memory is bounded. Filters have fixed sizes; full ones let more through, never less.
+A cell holds a bounded number of nodes. Filters have fixed sizes; full ones let more through, never less.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm import spans
@@ -37,8 +37,8 @@ FILTER_BITS = 24
 TWICE_BITS, SHARD_BITS = 27, 20         # of the filter of shingles that two nodes have, and of its shards
 FAN_IN = 64                             # tasks whose filters meet in one place at a time
 HELD = 8_000_000                        # places of shingles that a task holds before it combines them
-TILE = 1024
-CELL = 512                              # nodes of each side whose pairs one task compares
+TILE = 1024                             # nodes of a tile
+CELL = 1024                             # nodes of each side whose pairs one task compares
 BAND_RATIO = 4 / 3
 LEAST_BITS, MOST_BITS = 64, 4096        # of a bitmap; about twice the set's size between
 
@@ -117,10 +117,6 @@ def _in(packed: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (packed[places >> 3] >> (7 - (places & 7)) & 1).astype(bool)
 
 
-def _place(token: Column) -> Column:
-    return F.shiftrightunsigned(token, 64 - FILTER_BITS).cast("int")
-
-
 class Sets:
     """The documents' sets, read again from their texts whenever they are needed."""
 
@@ -172,11 +168,9 @@ class Sets:
             bits[row.shard] = np.frombuffer(row.bits, np.uint8)
         return bits.reshape(-1)
 
-    def prefixes(self, only: np.ndarray | None = None, bitmaps: bool = False) -> DataFrame:
-        """(token, node) of the first quarter of each node's set as far as other nodes may have the token; the node's
-        size and bitmap if asked for. `only`: a filter of tokens."""
+    def prefixes(self) -> DataFrame:
+        """(token, node) of the first quarter of each node's set as far as other nodes may have the token."""
         standing, twice = _standing_of(self.chosen), self.twice
-        wanted = self.spark.sparkContext.broadcast(only) if only is not None else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -189,20 +183,44 @@ class Sets:
                     alone = size - (upto[firsts[1:]] - upto[firsts[:-1]])
                     quarter = size - (NUMERATOR * size + DENOMINATOR - 1) // DENOMINATOR + 1
                     keep = shared & stands[row] & (alone[row] + upto[:-1] - upto[firsts[:-1]][row] < quarter[row])
-                    if wanted is not None:
-                        keep &= _in(wanted.value, (grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
-                    if not keep.any():
-                        continue
-                    kept = row[keep]
-                    made = {"token": pa.array(grams[keep].view(np.int64)),
-                            "node": pa.array(node_ids(grams, firsts)[kept].view(np.int64))}
-                    if bitmaps:
-                        some, index = np.unique(kept, return_inverse=True)
-                        maps = pa.array([_signature(grams[firsts[r]:firsts[r + 1]]) for r in some], pa.binary())
-                        made |= {"n": pa.array(size[kept], pa.int64()), "bits": maps.take(pa.array(index))}
-                    yield pa.RecordBatch.from_pydict(made)
-
-        return self.rows.mapInArrow(run, "token long, node long" + (", n long, bits binary" if bitmaps else ""))
+                    if keep.any():
+                        yield pa.RecordBatch.from_pydict({
+                            "token": pa.array(grams[keep].view(np.int64)),
+                            "node": pa.array(node_ids(grams, firsts)[row[keep]].view(np.int64))})
+
+        return self.rows.mapInArrow(run, "token long, node long")
+
+    def cell_links(self, shared: DataFrame) -> DataFrame:
+        """Links (a, b) between nodes of different components that share a token; `shared` has (token, node, comp)."""
+        stars = (shared.groupBy("token").agg(F.min("node").alias("a"), F.min("comp").alias("one"), F.max("comp").alias("two"))
+                 .filter("one <> two").select("token", "a"))
+        edges = cut(shared.join(stars, "token").filter("a < node").select("a", F.col("node").alias("b")).distinct(), "shared-tokens")
+        band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
+        members = (components(edges).withColumnRenamed("comp", "cluster").join(self.nodes, "node")
+                   .withColumn("band", band))
+        members = members.join(shared.select("node", "comp").distinct(), "node")
+        sizes = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+        members = cut(members.join(sizes, ["cluster", "band"]).select(
+            "node", "comp", "cluster", "band", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+            F.col("doc").alias("chosen")), "cluster-nodes")
+        sizes = cut(sizes, "cluster-bands")
+        # a tile meets the tiles of its band and of the next: cell (band, block, next band or the same, its block)
+        other = sizes.select("cluster", F.col("band").alias("band_b"), F.col("blocks").alias("blocks_b"))
+        tiles = cut(members.select("cluster", "band", "block").distinct(), "tiles")
+        pairs = tiles.join(other, "cluster").filter("band_b = band or band_b = band + 1").withColumn(
+            "block_b", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1))).filter("band_b > band or block_b >= block")
+        cells = pairs.select("cluster", "band", "block", "band_b", "block_b")
+        own = members.join(cells, ["cluster", "band", "block"])
+        cells_b = cells.select("cluster", F.col("band").alias("band_a"), F.col("block").alias("block_a"),
+                               F.col("band_b").alias("band"), F.col("block_b").alias("block")).filter("band <> band_a or block <> block_a")
+        visiting = members.join(cells_b, ["cluster", "band", "block"])
+        keys = ["cluster", "band_a", "block_a", "band_b", "block_b"]
+        sent = own.select("cluster", F.col("band").alias("band_a"), F.col("block").alias("block_a"), "band_b", "block_b", "node", "comp",
+                          F.lit(0).alias("side")).union(visiting.select(
+                              "cluster", "band_a", "block_a", F.col("band").alias("band_b"), F.col("block").alias("block_b"),
+                              "node", "comp", F.lit(1)))
+        rows = sent.join(self._texts(members.select("node", "chosen")), "node").select(*keys, "side", "node", "comp", "text")
+        return cut(rows.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(_cell_work, "a long, b long"), "links")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) of nodes whose sets are similar enough; exact.
@@ -365,103 +383,67 @@ def _matrix(bitmaps: list[bytes]) -> np.ndarray:
     return rows
 
 
-def _tile_pairs(node: np.ndarray, comp: np.ndarray, size: np.ndarray, home: np.ndarray, block: np.ndarray, bits: list[bytes],
-                own: tuple[int, int], best: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a tile that the bitmaps let through: different components, at least one in its home band, and, in a cell
-    off the grid's diagonal, one of each block."""
+def _tile_pairs(comp: np.ndarray, side: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Pairs of a cell that the bitmaps let through: of different components and, where two tiles meet, one of each."""
     rows = _matrix(bits)
     many = np.bitwise_count(rows).sum(1).astype(np.int64)
-    left, right, slack = [], [], []
-    for i in range(len(node) - 1):
-        j = np.arange(i + 1, len(node))
-        ok = (comp[j] != comp[i]) & (home[j] | home[i]) & (node[j] != node[i])
-        if own[0] != own[1]:
-            ok &= block[j] != block[i]
+    two = bool(side.any())
+    for i in np.flatnonzero(side == 0) if two else range(len(comp) - 1):
+        j = np.flatnonzero(side) if two else np.arange(i + 1, len(comp))
         need = least_common(size[i], size[j])
-        ok &= np.minimum(size[i], size[j]) >= need
+        ok = (comp[j] != comp[i]) & (np.minimum(size[i], size[j]) >= need)
         j, need = j[ok], need[ok]
         if not len(j):
             continue
         both = np.bitwise_count(rows[j] & rows[i]).sum(1).astype(np.int64)
         # every bit that only one of the two has set stands for a member that only it has
         bound = np.minimum(size[i] - (many[i] - both), size[j] - (many[j] - both))
-        ok = bound >= need
-        left.append(np.full(ok.sum(), i))
-        right.append(j[ok])
-        slack.append((bound - need)[ok])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    left, right, slack = map(np.concatenate, (left, right, slack))
-    if best:
-        low, high = np.minimum(comp[left], comp[right]), np.maximum(comp[left], comp[right])
-        order = np.lexsort((node[right], node[left], -slack, high, low))
-        low, high = low[order], high[order]
-        first = np.ones(len(order), bool)
-        first[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        left, right = left[order[first]], right[order[first]]
-    return np.minimum(node[left], node[right]), np.maximum(node[left], node[right])
-
-
-def _tile_work(best: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: pa.Table | None = None
-
-        def pairs_of(tiles: pa.Table) -> Iterator[pa.RecordBatch]:
-            keys = np.stack([tiles[c].to_numpy().astype(np.int64) for c in ("token", "band", "low", "high")], 1)
-            bounds = np.append(np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1))), len(keys))
-            columns = {c: tiles[c].to_numpy() for c in ("node", "comp", "n", "home", "block")}
-            bits = tiles["bits"]
-            made = []
-            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                if high - low < 2 or (columns["comp"][low:high] == columns["comp"][low]).all():
-                    continue
-                part = {c: v[low:high] for c, v in columns.items()}
-                made.append(_tile_pairs(part["node"], part["comp"], part["n"], part["home"], part["block"],
-                                        bits.slice(low, high - low).to_pylist(), tuple(keys[low, 2:]), best))
-            if made:
-                a, b = (np.concatenate(x) for x in zip(*made, strict=True))
-                pairs = np.unique(np.stack([a, b], 1), axis=0)
-                if len(pairs):
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([waiting, rows]).combine_chunks() if waiting is not None else rows
-            # the last tile may go on in the next batch
-            last = [rows[c][-1].as_py() for c in ("token", "band", "low", "high")]
-            same = np.ones(len(rows), bool)
-            for c, value in zip(("token", "band", "low", "high"), last, strict=True):
-                same &= rows[c].to_numpy() == value
-            begin = len(rows) - int(same.sum())
-            if begin:
-                yield from pairs_of(rows.slice(0, begin).combine_chunks())
-            waiting = rows.slice(begin)
-        if waiting is not None and len(waiting):
-            yield from pairs_of(waiting.combine_chunks())
-
-    return run
-
-
-def tile_candidates(tiles: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b) that the bitmaps of rows (token, node, n, comp, bits) cannot rule out, each once.
-
-    Nodes of one token meet in its tile. Tiles of more than `TILE` rows are split by size bands of a ratio of 4/3: a node
-    is at home in its band and visits the next larger. Bands are dealt to blocks, and each two blocks meet in a cell.
-    """
-    large = cut(tiles.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > TILE), "large-tiles")
-    zero = F.lit(0)
-    small = tiles.join(large.select("token"), "token", "left_anti").withColumns({
-        "band": zero, "low": zero, "high": zero, "block": zero, "home": F.lit(True)})
-    band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
-    split = (tiles.join(large.select("token"), "token").withColumn("step", F.explode(F.array(zero, F.lit(1))))
-             .withColumns({"band": band + F.col("step") + 1, "home": F.col("step") == 0}).drop("step"))
-    blocks = cut(split.groupBy("token", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks")), "large-bands")
-    split = split.join(blocks, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    split = split.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
-    split = split.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    keys, rest = ["token", "band", "low", "high"], ["block", "node", "n", "comp", "home", "bits"]
-    dealt = small.select(*keys, *rest).union(split.select(*keys, *rest)).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_tile_work(best), "a long, b long").distinct()
+        for other in j[bound >= need].tolist():
+            yield int(i), other
+
+
+def _cell_links(tile: pa.Table) -> Iterator[tuple[int, int]]:
+    """Links of one cell; nodes that links of the cell have joined are not compared again."""
+    sets = list(_sets(tile["text"].combine_chunks() if isinstance(tile["text"], pa.ChunkedArray) else tile["text"]))
+    node, comp, side = (tile[c].to_numpy() for c in ("node", "comp", "side"))
+    group: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in group:
+            c = group[c]
+        return c
+
+    size = np.array([len(x) for x in sets])
+    for i, j in _tile_pairs(comp, side, size, [_signature(x) for x in sets]):
+        one, two = root(int(comp[i])), root(int(comp[j]))
+        if one != two and _similar(sets[i], sets[j]):
+            group[max(one, two)] = min(one, two)
+            yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
+
+
+def _cell_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in the order of their keys; a cell may go on in the next batch."""
+    waiting: list[pa.RecordBatch] = []
+    keys: tuple | None = None
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        tile = pa.Table.from_batches(waiting)
+        found = list(_cell_links(tile)) if tile.num_rows > 1 else []
+        if found:
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    for batch in batches:
+        own = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)], 1)
+        bounds = np.append(np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))), len(own))
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if waiting and tuple(own[low]) != keys:
+                yield from finished()
+                waiting = []
+            keys = tuple(own[low])
+            waiting.append(batch.slice(low, high - low))
+    if waiting:
+        yield from finished()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -498,14 +480,11 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     links = sets.links(stars)
     known = components(links)
     # 2: shingles that different components have
-    owned = sets.prefixes().join(known, "node", "left").select("token", F.coalesce("comp", "node").alias("comp"))
-    tokens = owned.groupBy("token").agg(F.min("comp").alias("one"), F.max("comp").alias("two")).filter("one <> two")
-    tiles = cut(sets.prefixes(_bitmap(tokens.select(_place(F.col("token")))), bitmaps=True), "tiles")
-    # 3: the most promising pairs, then all others
-    for best in (True, False):
-        placed = tiles.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        links = links.union(sets.links(tile_candidates(placed, best)))
-        known = components(links)
+    owned = sets.prefixes().join(known, "node", "left").select("token", "node", F.coalesce("comp", "node").alias("comp"))
+    owned = cut(owned, "prefixes")
+    # 3: cells
+    links = links.union(sets.cell_links(owned))
+    known = components(links)
     smallest = (sets.nodes.join(known, "node", "left").groupBy(F.coalesce("comp", "node").alias("comp"))
                 .agg(F.min("doc").alias("component_id")))
     own = sets.nodes.join(known, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(smallest, "comp")
