@@ -64,9 +64,10 @@ def dimensions(observations: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def quality_report(observations: DataFrame, as_of: dt.date, rejected_rows: int = 0,
+def quality_report(observations: DataFrame, as_of: dt.date, rejected_rows: int | Column = 0,
                    computed_at: dt.datetime | None = None) -> DataFrame:
-    """The one-row report: rounded dimensions, composite of the rounded values, counts."""
+    """The one-row report: rounded dimensions, composite of the rounded values, counts. `rejected_rows` may be a
+    scalar subquery."""
     names = list(fixed.QUALITY_WEIGHTS)
     rounded = dimensions(observations, as_of).select(
         *[F.round(c, 4).alias(c) for c in names], "rows_evaluated")

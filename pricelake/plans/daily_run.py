@@ -139,11 +139,11 @@ def build_warehouse(lake: Lake, effective: dt.datetime, settings: Settings = Set
 
     facts = warehouse.fact_price_observation(observed, dim)
     if lake.exists("warehouse", "fact_price_observation"):
-        young = warehouse.young_months(lake.read("silver", "price_observations"), lake.facts(),
-                                       settings.late_days)
+        newest = lake.newest_facts()    # holds the newest day, without a look at the other months
+        young = warehouse.young_months(lake.read("silver", "price_observations"), newest, settings.late_days)
         facts = warehouse.late_window(
             warehouse.fact_price_observation(warehouse.stage_observations(young), dim),
-            lake.facts(), settings.late_days)
+            newest, settings.late_days)
     counts["facts_loaded"] = lake.write_facts(cut(facts, "young_facts"))
     stored = lake.facts()
     marts = {

@@ -456,7 +456,7 @@ from (select round({COMPLETENESS}, 4) as completeness, round({UNIQUENESS}, 4) as
              (select count(*) from fact_reasons where reason is not null) as rejected_rows
       from dirty_observations)""")
 def quality_report(feed: TradeFeed) -> DataFrame:
-    rejected = feed.bronze_facts()[1].count()
+    rejected = feed.bronze_facts()[1].agg(F.count("*").alias("n")).scalar()
     return quality.quality_report(dirty_observations(feed), AS_OF, rejected)
 
 

@@ -142,6 +142,13 @@ class Lake:
         return self.read("warehouse", "fact_price_observation").withColumn(
             "date_sk", F.col("date_sk").cast("int"))
 
+    def newest_facts(self) -> DataFrame:
+        """The facts of the newest month, found by the names of the partitions; all of them where there is none."""
+        target, system = self._located("warehouse", "fact_price_observation")
+        months = [entry.getPath().getName() for entry in system.listStatus(target)]
+        months = [name.split("=")[1] for name in months if name.startswith("month_sk=")]
+        return self.facts().filter(F.col("month_sk") == max(months, key=int)) if months else self.facts()
+
     def refresh_rollup(self, rollup: DataFrame, name: str = "agg_category_daily") -> int:
         """Create or fully refresh a stored aggregate."""
         return self.write(rollup, "warehouse", name)

@@ -13,6 +13,7 @@ from pricelake import fixed_values as fixed
 from pricelake.functions import dates
 from pricelake.operators.dedup import keep_last
 from pricelake.plans import warehouse
+from pricelake.session import cut
 from pricelake.sources.lake import Lake
 
 
@@ -31,12 +32,12 @@ def land_incrementally(records: DataFrame, lake: Lake, source: str, dataset: str
     falls on its own day.
     """
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_last(batch, [key], [created]).withColumn(
-            "dt", F.date_format(created, "yyyy-MM-dd"))
+        # stored once, since its days, the new keys and the write all read it
+        rows = cut(keep_last(batch, [key], [created]).withColumn(
+            "dt", F.date_format(created, "yyyy-MM-dd")), "landing")
         if lake.exists("raw", source, dataset):
-            days = [r["dt"] for r in rows.select("dt").distinct().collect()]  # days of one batch
             known = lake.read("raw", source, dataset).withColumn("dt", F.col("dt").cast("string"))
-            known = known.filter(F.col("dt").isin(days) & (F.col("batch_id") != batch_id))
+            known = known.filter(F.col("batch_id") != batch_id).join(rows.select("dt").distinct(), "dt", "left_semi")
             rows = rows.join(known.select(key, "dt"), [key, "dt"], "left_anti")
         if not rows.isEmpty():
             lake.write(rows.withColumn("batch_id", F.lit(batch_id)), "raw", source, dataset,
