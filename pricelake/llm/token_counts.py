@@ -7,7 +7,7 @@ together. So each prefix costs a few lookups, and counts of longer texts are sum
 has, whether it fits a budget and where to cut it are read off the stored counts without encoding anything again.
 
 Pieces never cross a blank, so a text's counts are stored at the end of each blank-separated word; inside a word
-`WordCounter.prefix_counts` has them at every symbol.
+`WordCounter.prefixes` has them at every code point, which is where a limit inside a word is looked for.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,12 @@ class WordCounter:
     """Token counts of blank-separated words for one vocabulary file of word-end byte-pair merges."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import PreTokenizedString, Tokenizer
 
         library = Tokenizer.from_file(path)
         self.normalize = library.normalizer.normalize_str
         self.pieces_of = library.pre_tokenizer.pre_tokenize_str
+        self.steps, self.pre_tokenized = (library.normalizer, library.pre_tokenizer), PreTokenizedString
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
         self.ids: dict[str, int] = stored["model"]["vocab"]
@@ -84,10 +86,11 @@ class WordCounter:
         self.apart[(left, right)] = free
         return free
 
-    def _inner(self, piece: str) -> tuple[list[int], list[int]]:
-        """For each prefix taken as the beginning of a longer piece: its last token, and its count."""
-        ids, last, count = self.ids, [-1], [0]
-        for k in range(1, len(piece) + 1):
+    def _inner(self, piece: str, last: list[int] | None = None, count: list[int] | None = None) -> tuple[list[int], list[int]]:
+        """For each prefix taken as the beginning of a longer piece: its last token, and its count. Given lists of the
+        first prefixes are continued."""
+        ids, last, count = self.ids, last or [-1], count or [0]
+        for k in range(len(last), len(piece) + 1):
             for begin in range(max(0, k - self.longest), k):
                 token = ids.get(piece[begin:k])
                 if token is not None and (begin == 0 or self.stay_apart(last[begin], token)):
@@ -142,6 +145,89 @@ class WordCounter:
         last, count = self._inner(piece)
         return [0] + [self._closed(piece, k, last, count) for k in range(1, len(piece) + 1)]
 
+    def _placed(self, word: str) -> list[tuple[str, int, int]]:
+        """Pieces with the code points of the word that each comes from; of pieces that share a code point, or that a
+        sign still to be composed may change, the first."""
+        if word.isascii() and word.isprintable():
+            return [(m[0], m.start(), m.end()) for m in _ASCII_PIECES.finditer(word.lower())]
+        normalizer, splitter = self.steps
+        found = self.pre_tokenized(word)
+        found.normalize(normalizer.normalize)
+        splitter.pre_tokenize(found)
+        composed = unicodedata.is_normalized("NFC", word)
+        placed: list[tuple[str, int, int]] = []
+        for piece, (first, end), _ in found.get_splits("original", "char"):
+            if placed and (first < placed[-1][2] or not composed and unicodedata.combining(word[first])):
+                placed[-1] = (*placed[-1][:2], max(end, placed[-1][2]))
+            else:
+                placed.append((piece, first, end))
+        nexts = [first for _, first, _ in placed[1:]] + [len(word)]
+        for i, (piece, first, end) in enumerate(placed):    # signs that went into the one before count with it
+            while end < nexts[i] and not word[end].isspace():
+                end += 1
+            placed[i] = (piece, first, end)
+        return placed
+
+    def _inside(self, source: str, piece: str) -> list[int]:
+        """Token counts of the first 1, 2, ... code points of what became this piece, with those that share its last one."""
+        if len(source) <= 3:    # a contraction begins as other pieces
+            return [self.word(source[:k]) for k in range(1, len(source) + 1)]
+        last, count = self._inner(piece)
+        if unicodedata.is_normalized("NFC", source):    # and so are its prefixes
+            size = {c: sum(len(p) for p, _ in self.pieces_of(self.normalize(c))) for c in set(source)}
+            ends = np.cumsum([size[c] for c in source]).tolist()
+            if ends[-1] == len(piece):
+                return [self._closed(piece, k, last, count) for k in ends]
+        counts = []
+        for k in range(1, len(source) + 1):     # a sign still to come may change the last ones
+            own = [p for p, _ in self.pieces_of(self.normalize(source[:k]))]
+            if len(own) != 1:
+                counts.append(sum(map(self.piece, own)))
+                continue
+            same = len(own[0])
+            while not piece.startswith(own[0][:same]):
+                same -= 1
+            counts.append(self._closed(own[0], len(own[0]), *self._inner(own[0], last[:same + 1], count[:same + 1])))
+        return counts
+
+    def prefixes(self, word: str, budget: int | None = None) -> list[int]:
+        """Token counts of the first 0, 1, ... code points of a text without blanks, at least as far as they can fit a
+        budget: from the piece on with which the tokens of whole pieces exceed it, none does."""
+        counts, used = [0], 0
+        begin, before = 0, 0    # of the last piece: its place, and the tokens before it
+        parts = self.special_pattern.split(word) if "<|" in word else [word]
+        at = 0
+        for i, part in enumerate(parts):
+            if i % 2:           # the beginning of a special string is plain text, and may join the piece before
+                counts += [before + self.word(word[begin:at + k]) for k in range(1, len(part))]
+                used += 1
+                counts.append(used)
+                begin, before = at + len(part), used
+            for piece, first, end in self._placed(part) if i % 2 == 0 else ():
+                if budget is not None and used > budget:
+                    return counts
+                counts += [used] * (at + first + 1 - len(counts))   # signs without tokens
+                begin, before = at + first, used
+                counts += [used + n for n in self._inside(part[first:end], piece)]
+                used = counts[-1]
+            at += len(part)
+            if len(counts) <= at:
+                counts += [used] * (at + 1 - len(counts))
+                begin, before = at, used
+            if budget is not None and used > budget and i % 2:
+                return counts
+        return counts
+
+    def cut(self, text: str, parts: list[str], counts: np.ndarray, limit: int) -> tuple[int, int]:
+        """Code points of the longest prefix of at most `limit` tokens, and its tokens; words and counts are those of `text`."""
+        fits = int(np.searchsorted(counts, limit, "right")) - 1
+        if fits == len(parts):
+            return len(text), int(counts[fits])
+        left = limit - int(counts[fits])
+        inside = self.prefixes(parts[fits], left)
+        k = max(k for k, n in enumerate(inside) if n <= left)
+        return sum(map(len, parts[:fits])) + fits + k, int(counts[fits]) + inside[k]
+
     def text(self, text: str) -> tuple[list[str], np.ndarray]:
         """The text's words and the token count at the end of each (one more entry than words, from 0)."""
         parts = text.replace("\n", " ").split(" ")
@@ -166,8 +252,8 @@ def _vocabulary(path: str | None) -> str:
 def token_counts(text: Column, limit: int = LIMIT, path: str | None = None) -> Column:
     """A struct for each text: n_bytes (UTF-8), n_tokens, and where to cut it to at most `limit` tokens.
 
-    cut_at counts the code points of the longest prefix within the limit that ends with a blank-separated word or
-    with the text; cut_tokens are its tokens. `path` must exist on every executor; by default the installed public
+    cut_at counts the code points of the longest prefix within the limit, which may end inside a word; cut_tokens are
+    its tokens. `path` must exist on every executor; by default the installed public
     file is taken. Null counts as empty. A text is one row's work, linear in its length; repeated rows count alike.
     """
 
@@ -179,21 +265,28 @@ def token_counts(text: Column, limit: int = LIMIT, path: str | None = None) -> C
             parts, counts = words.text(content)
             sizes.append(len(content.encode()))
             totals.append(int(counts[-1]))
-            fits = int(np.searchsorted(counts, limit, "right")) - 1
-            cut_tokens.append(int(counts[fits]))
-            cuts.append(len(content) if fits == len(parts) else sum(map(len, parts[:fits])) + max(fits - 1, 0))
+            place, tokens = words.cut(content, parts, counts, limit)
+            cuts.append(place)
+            cut_tokens.append(tokens)
         return {"n_bytes": pa.array(sizes, pa.int64()), "n_tokens": pa.array(totals, pa.int64()),
                 "cut_at": pa.array(cuts, pa.int64()), "cut_tokens": pa.array(cut_tokens, pa.int64())}
 
     return arrow_struct(text, "n_bytes long, n_tokens long, cut_at long, cut_tokens long", work)
 
 
-def prefix_table(docs: DataFrame, key: str, text: str = "text", path: str | None = None) -> DataFrame:
-    """For each row: key, and `counts`, the exact token count at the end of each blank-separated word, from 0."""
+def prefix_table(docs: DataFrame, key: str, text: str = "text", path: str | None = None, inside: bool = False) -> DataFrame:
+    """For each row: key, and `counts`, the exact token count at the end of each blank-separated word, from 0; with
+    `inside`, at every code point of the text."""
+
+    def every(words: WordCounter, content: str) -> np.ndarray:
+        parts, counts = words.text(content)
+        own = [np.array(words.prefixes(part)) + before for part, before in zip(parts, counts, strict=False)]
+        return np.concatenate(own)      # a word's first entry is the prefix that ends with the blank before it
 
     def work(batch: pa.RecordBatch) -> dict:
         words = counter(_vocabulary(path))
-        counts = [words.text(value.as_py() or "")[1] for value in batch.column(1)]
+        texts = (value.as_py() or "" for value in batch.column(1))
+        counts = [every(words, value) if inside else words.text(value)[1] for value in texts]
         return {key: batch.column(0), "counts": pa.array(counts, pa.list_(pa.int64()))}
 
     return by_batch(docs.select(key, text), f"`{key}` {docs.schema[key].dataType.simpleString()}, counts array<long>",
@@ -205,6 +298,12 @@ def words_within(counts: Column, budget: int) -> Column:
     return F.size(F.filter(counts, lambda c: c <= budget)) - 1
 
 
+def points_within(counts: Column, budget: int) -> Column:
+    """How many code points of a row of `prefix_table` with `inside` fit the budget. Within a word a longer prefix may
+    have fewer tokens, so it is the last entry that fits."""
+    return F.array_max(F.filter(F.transform(counts, lambda c, i: F.when(c <= budget, i)), lambda i: i.isNotNull()))
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text; over_limit: more than 2,048."""
     docs = table(spark, sf_dir, "documents").select("doc_id", token_counts(F.col("text")).alias("counted"))
