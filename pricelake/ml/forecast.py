@@ -71,8 +71,9 @@ def fit(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP,
         seed: int = fixed.SEED, tolerance: float = TOLERANCE) -> GBTRegressionModel:
     """At most `rounds` trees from a table made by `assembled`.
 
-    The newest tenth of the days is held out; boosting ends where a further tree improves its error by less
-    than `tolerance`. A table of a few days, of which none can be held out, trains on all rounds.
+    The newest tenth of the days is held out to find where a further tree improves its error by less than `tolerance`;
+    that many trees are then fitted to all rows. A table of a few days, of which none can be held out, trains on
+    all rounds.
     """
     booster = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="yhat",
                            maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
@@ -80,7 +81,8 @@ def fit(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP,
     held = table.select("features", target, (F.col("observed_date") > F.lit(until)).alias("held_out"))
     if held.filter("held_out").isEmpty():
         return booster.fit(held)
-    return booster.setValidationIndicatorCol("held_out").setParams(validationTol=tolerance).fit(held)
+    stopped = booster.copy().setValidationIndicatorCol("held_out").setParams(validationTol=tolerance).fit(held)
+    return booster.setMaxIter(stopped.getNumTrees).fit(held)
 
 
 def backtest_cutoff(frame: DataFrame) -> DataFrame:
