@@ -23,7 +23,8 @@ from pricelake.session import cut
 
 GRID = 256
 STATISTICS = ("size", "length", "symbols", "lines", "repeats")
-FLOORS = (0.25, 0.06, 0.40, 0.50, 0.14)   # least standard deviation of each statistic: none rejects what is nearer
+# least standard deviation of each statistic: none rejects what is nearer than 5.07 of them, and each can reject alone
+FLOORS = (0.25, 0.06, 0.10, 0.40, 0.06)
 SUBSET = 0.75
 LEAST_ROWS = 50      # smaller groups are judged with the other small groups of their language, then with all small ones
 STEPS = 10

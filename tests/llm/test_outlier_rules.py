@@ -97,6 +97,22 @@ def test_distances_against_numpy(spark):
     assert len(junk) > 10 and sum(junk) == 0 and np.mean(clean) > 0.97
 
 
+def test_each_statistic_rejects_alone(spark):
+    rng = random.Random(7)
+    texts = [prose(rng, rng.randrange(60, 300), 3000) for _ in range(200)]
+    own = [f"x{i:03}" for i in range(200)]
+    lines = [own[i] for i in [*range(33), *range(27)]]
+    rng.shuffle(lines)
+    far = {"size": " ".join(f"w{i % 97}{i}"[:4] + chr(97 + i % 26) for i in range(9000)), "length": " ".join(w * 4 for w in own[:120]),
+           "symbols": " ".join(w + "#" * (i % 6 == 0) for i, w in enumerate(own)), "repeats": " ".join(own[:85] + own[60:85]),
+           "lines": "\n".join(lines)}
+    assert 0.4 < base(far["repeats"])[4] / 110 < 0.5 and base(far["lines"])[3:5] == (27, 0) and not any(base(t)[5] for t in far.values())
+    rows = [(i, t, "en", "a", *[None] * 4) for i, t in enumerate([*texts, *far.values()])]
+    kept = {r.doc_id: r.kept for r in op.judged(frame(spark, rows)).collect()}
+    assert np.mean([kept[i] for i in range(200)]) > 0.97
+    assert {name: kept[200 + i] for i, name in enumerate(far)} == dict.fromkeys(far, False)
+
+
 def test_chi_square():
     assert op.chi_square_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-4)
     assert op.chi_square_quantile(0.75, 5) == pytest.approx(6.62568, abs=1e-4)
