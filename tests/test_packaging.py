@@ -5,7 +5,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import SMALL
+from given import SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SCRIPT = """
