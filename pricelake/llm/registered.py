@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricelake.llm.cross_tokens import op13_cross_tokens
 from pricelake.llm.decontamination import OP10_SQL, op10_decontamination
 from pricelake.llm.jaccard_join import op5_jaccard_join
 from pricelake.llm.language_id import op4_language_id
@@ -22,7 +23,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name; the name begins with the operator's number."""
     return {query.__name__: query for query in (
         op1_token_counts, op2_outlier_rules, op3_source_mix, op4_language_id, op5_jaccard_join, op6_toxicity,
-        op7_language_model, op8_line_dedup, op9_quality_classifier, op10_decontamination)}
+        op7_language_model, op8_line_dedup, op9_quality_classifier, op10_decontamination,
+        op13_cross_tokens)}
 
 
 def llm_sql() -> dict[str, str]:
