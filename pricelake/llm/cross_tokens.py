@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from pricelake.llm import spans
 from pricelake.llm.tables import table
-from pricelake.llm.units import Distinct, byte_level, byte_level_bytes, piece_bytes, pieces, ragged
+from pricelake.llm.units import Distinct, byte_level, byte_level_bytes, piece_bytes, pieces
 from pricelake.session import cut
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20   # of text; its tokens, joins and counts take about a hundred times as much memory
 COUNTED = "block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair array<int>, times array<int>"
 PARTIAL = "a array<int>, b array<int>, n array<long>"
 
@@ -35,15 +35,22 @@ class Side:
     """One tokenizer: ids of stretches, and the bytes of each id."""
 
     def __init__(self, encoder, entries: list[bytes]):
-        self.encoder, self.entries = encoder, entries
+        self.encoder, self.entries = encoder, pa.array(entries, pa.large_binary())
         self.lengths = pa.array(np.array([len(e) for e in entries], np.int64))
         self.last_of_group = len(entries)   # rendered ids: first those inside a group, then those that end one
 
-    def lists(self, found: list[bytes]) -> tuple[pa.ListArray, np.ndarray]:
-        """The ids of each stretch, and whether their bytes are the stretch's."""
-        ids = self.encoder(found)
-        same = [b"".join([self.entries[i] for i in one.tolist()]) == s for one, s in zip(ids, found, strict=True)]
-        return ragged(ids), np.array(same, bool)
+    def lists(self, distinct: Distinct) -> tuple[pa.ListArray, np.ndarray]:
+        """The ids of each distinct stretch, and whether their bytes are the stretch's."""
+        lists = self.encoder(distinct.found)
+        ids, firsts = lists.flatten(), lists.offsets.to_numpy()
+        same = spans.row_sums(self.lengths.take(ids).to_numpy(), firsts) == distinct.sizes
+        chosen = ids.filter(pa.array(np.repeat(same, np.diff(firsts))))
+        made = np.frombuffer(self.entries.take(chosen).buffers()[2] or b"", np.uint8)
+        given = np.frombuffer(b"".join([s for s, ok in zip(distinct.found, same.tolist(), strict=True) if ok]), np.uint8)
+        wrong = np.flatnonzero(made != given)
+        owner = np.searchsorted(np.cumsum(distinct.sizes[same]), wrong, "right")
+        same[np.flatnonzero(same)[owner]] = False
+        return lists, same
 
 
 @cache
@@ -82,8 +89,8 @@ class Aligned:
     def __init__(self, block: spans.Block, a: Side, b: Side):
         self.rows = len(block.offsets) - 1
         distinct = Distinct(block)
-        lists_a, same_a = a.lists(distinct.found)
-        lists_b, same_b = b.lists(distinct.found)
+        lists_a, same_a = a.lists(distinct)
+        lists_b, same_b = b.lists(distinct)
         owner = spans.rows_of(distinct.firsts)
         whole = np.ones(self.rows, bool)
         whole[owner[~(same_a & same_b)[distinct.which]]] = False

@@ -11,14 +11,14 @@ import functools
 import json
 import os
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from pricelake.llm import spans
 
-KEPT = 200_000      # entries of a process's cache of stretches, which is emptied when full
-LONGEST_KEPT = 64   # bytes; longer stretches are not cached
+AT_ONCE = 4096      # stretches that a library encodes in one call, whose results are large objects of its own
 SPACE_MARK = "▁"
 
 # Control characters, space, and every byte that may end a Unicode white space character (U+0085, U+00A0, U+1680,
@@ -39,36 +39,29 @@ def stretches(block: spans.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class StretchEncoder:
-    """Ids of stretches. `encode` takes a list of strings and gives a list of lists of ids."""
+    """Ids of stretches as an Arrow list array. `encode` takes a list of strings and gives a list of lists of ids."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
         self.encode = encode
-        self.kept: dict[bytes, np.ndarray] = {}
 
-    def __call__(self, found: list[bytes]) -> list[np.ndarray]:
-        if len(self.kept) > KEPT:
-            self.kept.clear()
-        new = [s for s in found if s not in self.kept]
-        own = dict(zip(new, (np.array(ids, np.int32) for ids in self.encode([s.decode() for s in new])), strict=True))
-        result = [own[s] if s in own else self.kept[s] for s in found]
-        self.kept.update((s, ids) for s, ids in own.items() if len(s) <= LONGEST_KEPT)
-        return result
-
-
-def ragged(parts: list[np.ndarray]) -> pa.ListArray:
-    """An Arrow list array of the parts."""
-    places = np.zeros(len(parts) + 1, np.int32)
-    np.cumsum([len(p) for p in parts], out=places[1:])
-    return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+    def __call__(self, found: list[bytes]) -> pa.ListArray:
+        sizes, flat = [np.zeros(1, np.int32)], [np.zeros(0, np.int32)]
+        for at in range(0, len(found), AT_ONCE):
+            ids = self.encode([s.decode() for s in found[at:at + AT_ONCE]])
+            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes[-1].sum())))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes), dtype=np.int32)), pa.array(np.concatenate(flat)))
 
 
 class Distinct:
-    """The distinct stretches of a block, and which of them each stretch is."""
+    """The distinct stretches of a block, and which of them each stretch is. They are told apart by 64-bit hashes: two of the
+    block's stretches are taken for one with a probability below 1e-8."""
 
     def __init__(self, block: spans.Block):
         starts, ends, self.firsts = stretches(block)
         _, lead, self.which = np.unique(spans.hashes(block.data, starts, ends), return_index=True, return_inverse=True)
         raw = block.data.tobytes()
+        self.sizes = (ends - starts)[lead]
         self.found = [raw[a:b] for a, b in zip(starts[lead].tolist(), ends[lead].tolist(), strict=True)]
 
 
@@ -81,7 +74,7 @@ def byte_level(path: str, special: bool) -> StretchEncoder:
 
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = not special
-    return StretchEncoder(lambda texts: [e.ids for e in library.encode_batch(texts, add_special_tokens=False)])
+    return StretchEncoder(lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)])
 
 
 @functools.cache
