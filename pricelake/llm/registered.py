@@ -16,7 +16,9 @@ from pricelake.llm.outlier_rules import op2_outlier_rules
 from pricelake.llm.quality_classifier import op9_quality_classifier
 from pricelake.llm.source_mix import op3_source_mix
 from pricelake.llm.token_counts import op1_token_counts
+from pricelake.llm.token_files import op12_token_files
 from pricelake.llm.toxicity import op6_toxicity
+from pricelake.llm.whitening import op11_whitening
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,7 +26,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_token_counts, op2_outlier_rules, op3_source_mix, op4_language_id, op5_jaccard_join, op6_toxicity,
         op7_language_model, op8_line_dedup, op9_quality_classifier, op10_decontamination,
-        op13_cross_tokens)}
+        op11_whitening, op12_token_files, op13_cross_tokens)}
 
 
 def llm_sql() -> dict[str, str]:
