@@ -1,11 +1,13 @@
 """Line dedup with two Bloom filters.
 
-1. Every task hashes the lines of its documents (128 bits) and sets their bits in a once-seen filter; lines that it
-   meets in a second document also in a twice-seen filter. Filters come in shards of a fixed number of bits and merge
-   as (a1 or b1, a2 or b2 or (a1 and b1)), a bounded number of them at a time.
-2. The merged twice-seen filter has a fixed size and goes to all tasks. A line not in it occurs in one document only.
-   The others are suspects: one row for each suspect and task, with its text, its number of documents and its first
-   occurrence, is shuffled, so hot lines are counted before the shuffle. The exact counts give the repeated lines.
+1. Every task hashes the lines of its documents (128 bits) and keeps the places of their bits in a once-seen filter of 2^34
+   bits; bits that it meets in a second document are in a twice-seen filter as well. Filters come in shards, whose set bits
+   are listed while they are few, so a task holds its own lines and never a whole filter. Shards merge as
+   (a1 or b1, a2 or b2 or (a1 and b1)), a bounded number of them at a time.
+2. The merged twice-seen filter is folded to 32 bits for each of its set bits, 2^30 at most, and goes to all tasks. A line not
+   in it occurs in one document only. The others are suspects: one row for each suspect and task, with its text, its
+   number of documents and its first occurrence, is shuffled, so hot lines are counted before the shuffle. The exact
+   counts give the repeated lines.
 3. Lines are dropped where they stand. Repeated lines are broadcast as hashes if they are at most `BROADCAST_LINES`;
    beyond that the suspects' hashes are joined with them and come back to each document.
 
@@ -21,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +31,11 @@ from pricelake.llm import spans
 from pricelake.llm.tables import by_batch, table
 from pricelake.session import cut
 
-SHARDS, SHARD_BITS = 256, 1 << 18   # each filter has 2^26 bits, 8 MB
-FAN_IN = 64                         # filters of one shard that one task merges
+SHARDS, SHARD_BITS = 256, 1 << 26   # the once-seen filter has 2^34 bits, of which only the set ones are stored
+FOLDED_BITS = 1 << 22               # a shard of the twice-seen filter has no more after folding: 128 MB in all
+SPARE = 32                          # bits of the folded filter for each set one
+FAN_IN = 16                         # filters of one shard that one task merges
+HELD = 1 << 21                      # places that a task gathers before it sorts them in
 BROADCAST_LINES = 1 << 19           # 16 bytes each
 MIN_DOCUMENTS = 10
 
@@ -59,49 +65,51 @@ class Lines:
         return spans.LOWER[self.block.data[self.key_starts[line]:self.key_ends[line]]].tobytes().decode()
 
 
-def places(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of a key, in one shard."""
-    shard = (one >> np.uint64(56)).astype(np.int64) * SHARD_BITS
-    mask = np.uint64(SHARD_BITS - 1)
+def places(one: np.ndarray, two: np.ndarray, shard_bits: int = SHARD_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a key, in one shard. Fewer bits a shard fold the places of more."""
+    shard = (one >> np.uint64(56)).astype(np.int64) * shard_bits
+    mask = np.uint64(shard_bits - 1)
     return shard + (one & mask).astype(np.int64), shard + (two & mask).astype(np.int64)
 
 
 def _packed(bits: np.ndarray) -> bytes:
-    """Bits of one shard: their positions if they are few, else a bitmap."""
+    """Set bits of one shard: their places if they are few, else a bitmap."""
     if len(bits) * 32 < SHARD_BITS:
         return bits.astype(np.uint32).tobytes()
-    return np.packbits(_mask(bits)).tobytes()
-
-
-def _mask(bits: np.ndarray) -> np.ndarray:
     mask = np.zeros(SHARD_BITS, bool)
     mask[bits] = True
-    return mask
+    return np.packbits(mask).tobytes()
 
 
 def _unpacked(stored: bytes) -> np.ndarray:
     if len(stored) * 8 >= SHARD_BITS:
-        return np.unpackbits(np.frombuffer(stored, np.uint8)).astype(bool)
-    return _mask(np.frombuffer(stored, np.uint32))
+        return np.flatnonzero(np.unpackbits(np.frombuffer(stored, np.uint8)))
+    return np.frombuffer(stored, np.uint32).astype(np.int64)
+
+
+def _joined(once: list[np.ndarray], twice: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places set in any of `once`; places in any of `twice` or more than once in `once`."""
+    every, counts = np.unique(np.concatenate(once), return_counts=True)
+    return every, np.unique(np.concatenate([every[counts > 1], *twice]))
 
 
 def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    once, twice = np.zeros(SHARDS * SHARD_BITS, bool), np.zeros(SHARDS * SHARD_BITS, bool)
+    once, twice, held = np.zeros(0, np.int64), np.zeros(0, np.int64), []
     for batch in batches:
         for block in spans.blocks(batch.column(0)):
             found = Lines(block)
             at = found.per_document()
-            one, two = found.one[at], found.two[at]
-            order = np.lexsort((two, one))
-            one, two = one[order], two[order]
-            first = np.ones(len(one), bool)
-            first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            a, b = places(one, two)
-            seen = once[a] & once[b] | ~first
-            twice[a[seen]] = twice[b[seen]] = True
-            once[a] = once[b] = True
-    rows = [(shard, _packed(np.flatnonzero(once[low:low + SHARD_BITS])), _packed(np.flatnonzero(twice[low:low + SHARD_BITS])))
-            for shard, low in enumerate(range(0, SHARDS * SHARD_BITS, SHARD_BITS)) if once[low:low + SHARD_BITS].any()]
+            a, b = places(found.one[at], found.two[at])
+            held += [a, b[a != b]]
+            if sum(map(len, held)) > max(HELD, len(once)):
+                once, twice = _joined([once, *held], [twice])
+                held = []
+    once, twice = _joined([once, *held], [twice])
+    edges = np.arange(SHARDS + 1) * SHARD_BITS
+    edges_once, edges_twice = np.searchsorted(once, edges), np.searchsorted(twice, edges)
+    rows = [(shard, _packed(once[edges_once[shard]:edges_once[shard + 1]] - edges[shard]),
+             _packed(twice[edges_twice[shard]:edges_twice[shard + 1]] - edges[shard]))
+            for shard in np.flatnonzero(np.diff(edges_once)).tolist()]
     if rows:
         yield pa.RecordBatch.from_pydict({"shard": pa.array([r[0] for r in rows], pa.int32()),
                                           "once": pa.array([r[1] for r in rows], pa.binary()),
@@ -109,17 +117,17 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merged(rows: pd.DataFrame) -> pd.DataFrame:
-    once, twice = np.zeros(SHARD_BITS, bool), np.zeros(SHARD_BITS, bool)
-    for a, b in zip(rows["once"], rows["twice"], strict=True):
-        other = _unpacked(a)
-        twice |= _unpacked(b) | once & other
-        once |= other
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "once": [_packed(np.flatnonzero(once))],
-                         "twice": [_packed(np.flatnonzero(twice))]})
+    once, twice = _joined([_unpacked(x) for x in rows["once"]], [_unpacked(x) for x in rows["twice"]])
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "once": [_packed(once)], "twice": [_packed(twice)]})
+
 
+def _merged_twice(rows: pd.DataFrame) -> pd.DataFrame:
+    made = _merged(rows)[["shard", "twice"]]
+    return made.assign(n=[len(_unpacked(x)) for x in made["twice"]])
 
-def twice_seen(docs: DataFrame, text: str) -> np.ndarray:
-    """The merged twice-seen filter as a bitmap of SHARDS * SHARD_BITS / 8 bytes."""
+
+def twice_seen(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
+    """The merged and folded twice-seen filter as a bitmap, and the number of bits of each of its shards."""
     schema = "shard int, once binary, twice binary"
     filters = cut(docs.select(F.coalesce(text, F.lit(""))).mapInArrow(_filters, schema), "line-filters")
     most = filters.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
@@ -128,16 +136,20 @@ def twice_seen(docs: DataFrame, text: str) -> np.ndarray:
         filters = filters.withColumn("part", F.pmod(F.xxhash64("once", "twice"), F.lit(groups)))
         filters = cut(filters.groupBy("shard", "part").applyInPandas(_merged, schema), "line-filters")
         most = filters.groupBy("shard").count().agg(F.max("count")).first()[0]
-    whole = np.zeros((SHARDS, SHARD_BITS // 8), np.uint8)
-    for row in filters.groupBy("shard").applyInPandas(_merged, schema).select("shard", "twice").toLocalIterator():
-        whole[row.shard] = np.packbits(_unpacked(row.twice))
-    return whole.reshape(-1)
-
-
-def suspects(docs: DataFrame, text: str, doc: str, twice: np.ndarray) -> DataFrame:
+    merged = cut(filters.groupBy("shard").applyInPandas(_merged_twice, "shard int, twice binary, n long"), "twice-seen")
+    most_set = merged.agg(F.max("n")).first()[0] or 0
+    shard_bits = min(max(1 << (SPARE * most_set - 1).bit_length(), 1 << 12), FOLDED_BITS) if most_set else 1 << 12
+    whole = np.zeros((SHARDS, shard_bits // 8), np.uint8)
+    for row in merged.select("shard", "twice").toLocalIterator():
+        mask = np.zeros(shard_bits, bool)
+        mask[_unpacked(row.twice) & (shard_bits - 1)] = True
+        whole[row.shard] = np.packbits(mask)
+    return whole.reshape(-1), shard_bits
+
+
+def suspects(docs: DataFrame, text: str, doc: str, shared: Broadcast, shard_bits: int) -> DataFrame:
     """For each block of documents and line that may occur elsewhere: its key and hashes, in how many of the block's
-    documents it is, and its first occurrence there."""
-    shared = docs.sparkSession.sparkContext.broadcast(twice)
+    documents it is, and its first occurrence there. `shared` is the twice-seen filter."""
 
     def work(batch: pa.RecordBatch) -> dict | None:
         bits, ids = shared.value, batch.column(0)
@@ -145,7 +157,7 @@ def suspects(docs: DataFrame, text: str, doc: str, twice: np.ndarray) -> DataFra
         for block in spans.blocks(batch.column(1)):
             found = Lines(block)
             at = found.per_document()
-            a, b = places(found.one[at], found.two[at])
+            a, b = places(found.one[at], found.two[at], shard_bits)
             at = at[(bits[a >> 3] >> (7 - (a & 7)) & bits[b >> 3] >> (7 - (b & 7)) & 1).astype(bool)]
             # of a key's occurrences the one with the smallest id, and then line, leads
             ranks = pc.rank(ids.slice(block.first, block.last - block.first), "ascending", null_placement="at_start",
@@ -178,11 +190,15 @@ def repeated_lines(docs: DataFrame, text: str, doc: str, least: int) -> DataFram
     """Lines found in at least `least` documents (2 or more): hashes, document count, first occurrence."""
     if least < 2:
         raise ValueError("a repeated line is in two documents at least")
-    found = suspects(docs, text, doc, twice_seen(docs, text))
-    return cut(found.groupBy("key", "one", "two")
+    twice, shard_bits = twice_seen(docs, text)
+    shared = docs.sparkSession.sparkContext.broadcast(twice)
+    found = suspects(docs, text, doc, shared, shard_bits)
+    lines = cut(found.groupBy("key", "one", "two")
                .agg(F.sum("n_docs").alias("n_docs"), F.min(F.struct("first_doc", "first_line")).alias("first"))
                .filter(F.col("n_docs") >= least)
                .select("one", "two", "n_docs", "first.first_doc", "first.first_line"), "repeated-lines")
+    shared.unpersist()
+    return lines
 
 
 def _dropped(found: Lines, one: np.ndarray, two: np.ndarray) -> np.ndarray:
