@@ -60,7 +60,7 @@ def sides(path_a: str | None, path_b: str | None) -> tuple[Side, Side, pa.Array]
 
     path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
     path_b = path_b or public_tokenizers.path("piece_bpe_32k.model")
-    a = Side(byte_level(path_a, special=False), byte_level_bytes(path_a))
+    a = Side(byte_level(path_a), byte_level_bytes(path_a))
     b = Side(pieces(path_b), piece_bytes(path_b))
     rendered = [f"{i}{mark}" for side, last in ((a, "|"), (b, ";")) for mark in (",", last)
                 for i in range(len(side.entries))]

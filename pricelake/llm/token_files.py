@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pricelake.llm import spans
 from pricelake.llm.tables import by_batch, table
-from pricelake.llm.units import Distinct, byte_level
+from pricelake.llm.units import byte_level_tokens
 from pricelake.llm.wavelet import WaveletMatrix, encode
 from pricelake.session import scratch_path
 
@@ -37,7 +37,7 @@ def _shards(path: str | None, end_id: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encoder = byte_level(path or public_tokenizers.path("byte_bpe_50k.json"), special=True)
+        encoder = byte_level_tokens(path or public_tokenizers.path("byte_bpe_50k.json"))
         part, shard = TaskContext.get().partitionId(), 0
         ids, lengths, docs = [], [], []
 
@@ -53,10 +53,8 @@ def _shards(path: str | None, end_id: int, shard_tokens: int):
 
         for batch in batches:
             for block in spans.blocks(batch.column(1), min(spans.BLOCK_BYTES, 4 * shard_tokens)):
-                distinct = Distinct(block)
-                taken = encoder(distinct.found).take(pa.array(distinct.which))
-                each = spans.row_sums(taken.value_lengths().to_numpy(), distinct.firsts)
-                ids.append(_with_ends(taken.flatten().to_numpy(), each, end_id))
+                flat, each = encoder(block)
+                ids.append(_with_ends(flat, each, end_id))
                 lengths.append(each + 1)
                 docs.append(batch.column(0).slice(block.first, block.last - block.first))
                 if sum(map(len, ids)) >= shard_tokens:

@@ -56,6 +56,29 @@ def plain(rows):
     return made
 
 
+ALPHABET = [" ", " ", "a", "b", "Z", "é", "à", " ", "\n", "\t", "　", "0", "7", "!", "'", "'s", "'ll", ".", "中", "<|endoftext|>", "<|", "|>",
+            "\x1c", "\x7f", "́", "²", "word", " the"]
+
+
+def test_pieces_give_the_ids_of_whole_texts(monkeypatch):
+    import pyarrow as pa
+
+    from pricelake.llm import spans, units
+
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 40))) for _ in range(4000)] + ["x" * 300, "x" * 300 + " y"]
+    tokens = units.ByteLevelTokens(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(units, "KEPT", 3000)
+    want = [m[3][:-1] for m in plain(list(enumerate(texts)))]
+    for _ in range(2):      # the second time from the cache, as far as it has not been emptied
+        got = []
+        for block in spans.blocks(pa.array(texts), 9_000):
+            flat, each = tokens(block)
+            got += [part.tolist() for part in np.split(flat, np.cumsum(each)[:-1])]
+        assert got == want
+    assert max(map(len, tokens.kept)) <= units.LONGEST_KEPT
+
+
 def check(spark, rows, folder, shard_tokens):
     df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, file string, part long, _doc long")
     stored = write_tokens(df.repartition(4), folder, shard_tokens=shard_tokens)
