@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake import fixed_values as fixed
-from pricelake.functions import dates
+from pricelake.ml import boosting
+from pricelake.ml.boosting import Forest, Model
 from pricelake.operators import features, ranks
 from pricelake.session import cut
 
 TARGETS = ("price", "sales_velocity")
 ROUNDS = 300
 STEP = 0.05
+DEPTH = 5
 HELD_OUT = 0.1      # share of a training table's days that decide when boosting ends
 TOLERANCE = 0.001
 
@@ -58,31 +59,64 @@ def training_frame(observations: DataFrame, windows: Windows = Windows(),
     return frame.dropna(subset=[*fixed.FORECAST_FEATURES, *TARGETS])
 
 
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=fixed.FORECAST_FEATURES, outputCol="features")
+@dataclass(frozen=True)
+class Regressor:
+    """One model of a forest."""
+
+    forest: Forest
+    name: str
+
+    def __len__(self) -> int:
+        return len(self.forest.models[self.name])
+
+    def predict(self, columns: list[np.ndarray]) -> np.ndarray:
+        """Predictions for the forecast features in their order."""
+        return self.forest.predict(self.name, columns)
+
 
+def _held_back(table: DataFrame, share: float = HELD_OUT):
+    """The last day before the newest `share` of the rows."""
+    return ranks.nearest_quantile_by_count(table, "observed_date", 1 - share).first()["cutoff"]
 
-def assembled(frame: DataFrame) -> DataFrame:
-    """The training table as trainers and backtests read it: features as a vector, both targets, the day."""
-    return _assembler().transform(frame).select("observed_date", "features", *TARGETS)
 
+def _pair(target: str, kind: str) -> list[Model]:
+    """A run that finds the number of trees on the newest days of its rows, and the fit of all its rows that follows it."""
+    return [Model(f"{target}:{kind}-length", target, f"{kind}_older", f"{kind}_newer"),
+            Model(f"{target}:{kind}", target, f"{kind}_all", follows=f"{target}:{kind}-length")]
 
-def fit(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP, depth: int = 5,
-        seed: int = fixed.SEED, tolerance: float = TOLERANCE) -> GBTRegressionModel:
-    """At most `rounds` trees from a table made by `assembled`.
 
-    The newest tenth of the days is held out to find where a further tree improves its error by less than `tolerance`;
-    that many trees are then fitted to all rows. A table of a few days, of which none can be held out, trains on
-    all rounds.
+def _masked(table: DataFrame, kind: str, upto) -> DataFrame:
+    """The masks of `_pair`: rows up to the day `upto` (all of them if it is None), split at the newest tenth of their days."""
+    day = F.col("observed_date")
+    inside = F.lit(True) if upto is None else day <= F.lit(upto)
+    until = F.lit(_held_back(table.filter(inside)))
+    return table.withColumns({f"{kind}_all": inside, f"{kind}_older": inside & (day <= until), f"{kind}_newer": inside & (day > until)})
+
+
+def trained(table: DataFrame, targets: tuple[str, ...] = TARGETS, rounds: int = ROUNDS, step: float = STEP, depth: int = DEPTH,
+            tolerance: float = TOLERANCE, with_backtest: bool = True) -> tuple[Forest, DataFrame, object]:
+    """All models of a stored training table in lockstep: for each target the model of all rows ("price:full") and, with
+    `with_backtest`, that of the days up to the backtest's cutoff ("price:backtest").
+
+    Each has at most `rounds` trees. The newest tenth of its days is held out to find where a further tree improves
+    the error by less than `tolerance`; that many trees are fitted to all its rows. A table of a few days, of which
+    none can be held out, trains on all rounds. Also gives all rows with their predictions, and the cutoff.
     """
-    booster = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="yhat",
-                           maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
-    until = ranks.nearest_quantile_by_count(table, "observed_date", 1 - HELD_OUT).first()["cutoff"]
-    held = table.select("features", target, (F.col("observed_date") > F.lit(until)).alias("held_out"))
-    if held.filter("held_out").isEmpty():
-        return booster.fit(held)
-    stopped = booster.copy().setValidationIndicatorCol("held_out").setParams(validationTol=tolerance).fit(held)
-    return booster.setMaxIter(stopped.getNumTrees).fit(held)
+    masked, kinds, cutoff = _masked(table, "full", None), ["full"], None
+    if with_backtest:
+        cutoff = backtest_cutoff(table).first()["cutoff"]
+        masked, kinds = _masked(masked, "backtest", cutoff), [*kinds, "backtest"]
+    models = [m for target in targets for kind in kinds for m in _pair(target, kind)]
+    forest, rows = boosting.grow(masked, fixed.FORECAST_FEATURES, models, rounds, step, depth, tolerance,
+                                 keep=["observed_date", *targets])
+    return forest, rows, cutoff
+
+
+def fit(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP, depth: int = DEPTH,
+        tolerance: float = TOLERANCE) -> Regressor:
+    """The model of one target on all rows of a stored training table."""
+    forest, _, _ = trained(table, (target,), rounds, step, depth, tolerance, with_backtest=False)
+    return Regressor(forest, f"{target}:full")
 
 
 def backtest_cutoff(frame: DataFrame) -> DataFrame:
@@ -90,32 +124,32 @@ def backtest_cutoff(frame: DataFrame) -> DataFrame:
     return ranks.nearest_quantile_by_count(frame, "observed_date", 0.8)
 
 
-def backtest(table: DataFrame, target: str, rounds: int = ROUNDS, step: float = STEP) -> dict:
-    """Errors and the 5 % and 95 % residual quantiles on the last fifth of the timeline of a table made by
-    `assembled`."""
-    cutoff = backtest_cutoff(table).first()["cutoff"]
-    train = table.filter(F.col("observed_date") <= F.lit(cutoff))
-    test = table.filter(F.col("observed_date") > F.lit(cutoff))
-    model = fit(train, target, rounds, step)
-    actual = F.col(target)
-    judged = cut(
-        model.transform(test).select(
-            (actual - F.col("yhat")).alias("residual"), actual.alias("actual")), "backtest")
+def residuals(rows: DataFrame, target: str, cutoff) -> DataFrame:
+    """residual and actual of the days after the cutoff, by the model that has not seen them."""
+    return rows.filter(F.col("observed_date") > F.lit(cutoff)).select(
+        (F.col(target) - F.col("predictions")[f"{target}:backtest"]).alias("residual"), F.col(target).alias("actual"))
+
+
+def band(judged: DataFrame) -> dict:
+    """Errors of a stored table of residuals, and its 5 % and 95 % quantiles."""
     size, mae, mape = judged.agg(
         F.count("*"), F.avg(F.abs("residual")),
         F.avg(F.abs(F.col("residual") / F.greatest("actual", F.lit(1e-6)))) * 100).first()
     low = ranks.quantile(judged, "residual", 0.05, size) if size else 0.0
     high = ranks.quantile(judged, "residual", 0.95, size) if size else 0.0
-    return {"target": target, "cutoff": cutoff, "rows_tested": size, "mae": mae, "mape": mape,
-            "low": low, "high": high}
+    return {"rows_tested": size, "mae": mae, "mape": mape, "low": low, "high": high}
+
+
+def backtests(rows: DataFrame, cutoff, targets: tuple[str, ...] = TARGETS) -> dict[str, dict]:
+    """For each target its errors and residual quantiles on the last fifth of the timeline."""
+    return {target: {"target": target, "cutoff": cutoff, **band(cut(residuals(rows, target, cutoff), "backtest"))}
+            for target in targets}
 
 
-def top_features(model: GBTRegressionModel, count: int = 5) -> list[tuple[str, float]]:
-    """The features with the largest share of importance."""
-    weights = model.featureImportances.toArray()
-    total = weights.sum() or 1.0
-    shares = zip(fixed.FORECAST_FEATURES, (weights / total).tolist())
-    return sorted(((f, round(w, 4)) for f, w in shares), key=lambda p: -p[1])[:count]
+def top_features(nodes: DataFrame, model: str, count: int = 5) -> list[tuple[str, float]]:
+    """The features with the largest share of a model's gains, from its node table."""
+    rows = boosting.importances(nodes.filter(F.col("model") == model), count).orderBy(F.desc("share"), "feature").collect()
+    return [(r["feature"], round(r["share"], 4)) for r in rows]
 
 
 def series_state(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
@@ -142,64 +176,69 @@ def short_series(observations: DataFrame, windows: Windows = Windows()) -> DataF
         F.col("rows") < windows.long)
 
 
-def _mean(values: Column, n: int) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
+Predictor = Callable[[list[np.ndarray]], np.ndarray]
 
 
-def _state_features(windows: Windows, step: int) -> dict[str, Column]:
+def next_features(prices: np.ndarray, velocities: np.ndarray, discount: np.ndarray, day: np.ndarray,
+                  windows: Windows) -> list[np.ndarray]:
+    """The forecast features of one further day, from the last rows of both series (oldest first) and that day."""
     short, long = windows.short, windows.long
-    recent = F.slice("prices", -short, short)
-    mean = F.col("_mean")
-    spread = F.aggregate(recent, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    day = F.date_add("last_date", step)
-    return {
-        "price_lag_1": F.element_at("prices", -1),
-        "price_lag_7": F.element_at("prices", -short),
-        "price_ma_7": mean,
-        "price_ma_30": _mean(F.slice("prices", -long, long), long),
-        "price_std_7": F.sqrt(spread / (short - 1)),
-        "velocity_lag_1": F.element_at("velocities", -1),
-        "velocity_ma_7": _mean(F.slice("velocities", -short, short), short),
-        "day_of_week": dates.iso_weekday(day),
-        "month_num": F.month(day),
+    recent = prices[:, -short:]
+    known = {
+        "price_lag_1": prices[:, -1],
+        "price_lag_7": prices[:, -short],
+        "price_ma_7": recent.mean(1),
+        "price_ma_30": prices[:, -long:].mean(1),
+        "price_std_7": recent.std(1, ddof=1),
+        "velocity_lag_1": velocities[:, -1],
+        "velocity_ma_7": velocities[:, -short:].mean(1),
+        "discount_percentage": discount,
+        "day_of_week": (day.astype(np.int64) + 3) % 7 + 1.0,     # day 0 was a Thursday
+        "month_num": day.astype("datetime64[M]").astype(np.int64) % 12 + 1.0,
     }
-
-
-def roll_forward(state: DataFrame, models: dict[str, GBTRegressionModel], bands: dict[str, dict],
+    return [known[name] for name in fixed.FORECAST_FEATURES]
+
+
+def rolled(state: DataFrame, predictors: dict[str, Predictor], horizon: int, windows: Windows) -> DataFrame:
+    """product_id, last_date, step, price and velocity for each step; all steps of a batch of series in one pass, without a
+    shuffle. A predictor takes the forecast features in their order."""
+    kind = state.schema["product_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            prices, velocities = (batch[name].flatten().to_numpy(zero_copy_only=False).reshape(n, windows.long)
+                                  for name in ("prices", "velocities"))
+            discount = batch["discount_percentage"].to_numpy(zero_copy_only=False).astype(np.float64)
+            last = batch["last_date"].to_numpy(zero_copy_only=False).astype("datetime64[D]")
+            made = np.empty((2, n, horizon))
+            for step in range(horizon):
+                columns = next_features(prices, velocities, discount, last + np.timedelta64(step + 1), windows)
+                for i, target in enumerate(TARGETS):
+                    made[i, :, step] = np.maximum(predictors[target](columns), fixed.FORECAST_FLOOR)
+                prices = np.column_stack([prices[:, 1:], made[0, :, step]])
+                velocities = np.column_stack([velocities[:, 1:], made[1, :, step]])
+            rows = pa.array(np.repeat(np.arange(n), horizon))
+            yield pa.RecordBatch.from_pydict({
+                "product_id": batch["product_id"].take(rows), "last_date": batch["last_date"].take(rows),
+                "step": pa.array(np.tile(np.arange(1, horizon + 1, dtype=np.int32), n)),
+                "price": pa.array(made[0].ravel()), "velocity": pa.array(made[1].ravel())})
+
+    narrow = state.select("product_id", "last_date", "prices", "velocities", "discount_percentage")
+    return narrow.mapInArrow(run, f"product_id {kind}, last_date date, step int, price double, velocity double")
+
+
+def roll_forward(state: DataFrame, predictors: dict[str, Predictor], bands: dict[str, dict],
                  horizon: int = fixed.FORECAST_HORIZON_DAYS, windows: Windows = Windows(),
-                 run_ids: dict[str, str] | None = None, cut_every: int = 15) -> DataFrame:
-    """Forecasts of every product and target for the next `horizon` days.
-
-    Each step is a projection over the state (two bounded arrays per product): features, both models,
-    append. There is no shuffle, so all steps run in one stage; long horizons store the state every
-    `cut_every` steps to keep the plan small.
-    """
+                 run_ids: dict[str, str] | None = None) -> DataFrame:
+    """Forecasts of every product and target for the next `horizon` days, with bands around them."""
     run_ids = run_ids or {}
-    state = state.withColumn("path", F.array().cast("array<struct<step:int,price:double,velocity:double>>"))
-    for step in range(1, horizon + 1):
-        rows = state.withColumn("_mean", _mean(F.slice("prices", -windows.short, windows.short),
-                                               windows.short))
-        rows = _assembler().transform(rows.withColumns(_state_features(windows, step)))
-        for target, model in models.items():
-            rows = model.transform(rows).withColumnRenamed("yhat", f"_{target}")
-        price = F.greatest("_price", F.lit(fixed.FORECAST_FLOOR))
-        velocity = F.greatest("_sales_velocity", F.lit(fixed.FORECAST_FLOOR))
-        rows = rows.select("product_id", "last_date", "discount_percentage", "prices", "velocities",
-                           "path", price.alias("p"), velocity.alias("v"))
-        state = rows.select(
-            "product_id", "last_date", "discount_percentage",
-            F.slice(F.array_append("prices", F.col("p")), -windows.long, windows.long).alias("prices"),
-            F.slice(F.array_append("velocities", F.col("v")), -windows.long, windows.long)
-            .alias("velocities"),
-            F.array_append("path", F.struct(
-                F.lit(step).alias("step"), F.col("p").alias("price"), F.col("v").alias("velocity")))
-            .alias("path"))
-        if step % cut_every == 0 and step < horizon:
-            state = cut(state, f"forecast_state_{step}")
-    points = state.select("product_id", "last_date", F.explode("path").alias("at"))
+    points = rolled(state, predictors, horizon, windows)
 
     def shown(target: str) -> Column:
-        yhat = F.col("at.price" if target == "price" else "at.velocity")
+        yhat = F.col("price" if target == "price" else "velocity")
         low, high = min(bands[target]["low"], 0.0), max(bands[target]["high"], 0.0)
         return F.struct(
             F.lit(target).alias("target"),
@@ -210,32 +249,30 @@ def roll_forward(state: DataFrame, models: dict[str, GBTRegressionModel], bands:
 
     return points.select(
         "product_id",
-        F.date_add("last_date", F.col("at.step")).alias("forecast_date"),
-        F.explode(F.array(*[shown(t) for t in models])).alias("f"),
+        F.date_add("last_date", F.col("step")).alias("forecast_date"),
+        F.explode(F.array(*[shown(t) for t in predictors])).alias("f"),
     ).select("product_id", "forecast_date", "f.*")
 
 
 def train_and_forecast(observations: DataFrame, horizon: int = fixed.FORECAST_HORIZON_DAYS,
                        rounds: int = ROUNDS, windows: Windows = Windows(), leaky: bool = False,
                        lake=None) -> DataFrame:
-    """Backtest, refit on everything, forecast both targets; runs are journalled where a lake is given."""
-    frame = cut(assembled(training_frame(observations, windows, leaky)), "training")
-    # four independent trainings; their many small jobs overlap on the cluster
-    tasks = {(job.__name__, target): (job, target) for job in (backtest, fit) for target in TARGETS}
-    with ThreadPool(len(tasks)) as pool:
-        train = inheritable_thread_target(frame.sparkSession)(
-            lambda task: task[0](frame, task[1], rounds))
-        done = dict(zip(tasks, pool.map(train, tasks.values())))
-    models = {t: done["fit", t] for t in TARGETS}
-    bands = {t: done["backtest", t] for t in TARGETS}
+    """Backtest, fit to everything, forecast both targets; runs are journalled where a lake is given."""
+    frame = cut(training_frame(observations, windows, leaky), "training")
+    forest, rows, cutoff = trained(frame, rounds=rounds)
+    bands = backtests(rows, cutoff)
     run_ids = {t: uuid.uuid4().hex[:12] for t in TARGETS}
+    if lake is not None:
+        nodes = forest.nodes(frame.sparkSession)
     for target in TARGETS if lake is not None else ():
-        leading = ",".join(f"{f}:{w}" for f, w in top_features(models[target]))
+        leading = ",".join(f"{f}:{w}" for f, w in top_features(nodes, f"{target}:full"))
         lake.log_run(
             f"{target}_forecasting",
-            {"model": "spark_gbt", "horizon_days": horizon,
+            {"model": "histogram_boosting", "horizon_days": horizon,
              "features": ",".join(fixed.FORECAST_FEATURES), "top_feature_importance": leading},
             {"backtest_mae": bands[target]["mae"], "backtest_mape": bands[target]["mape"],
-             "interval_width": bands[target]["high"] - bands[target]["low"]},
+             "interval_width": bands[target]["high"] - bands[target]["low"],
+             "trees": len(forest.models[f"{target}:full"])},
             {"target": target}, run_ids[target])
-    return roll_forward(series_state(observations, windows), models, bands, horizon, windows, run_ids)
+    predictors = {t: Regressor(forest, f"{t}:full").predict for t in TARGETS}
+    return roll_forward(series_state(observations, windows), predictors, bands, horizon, windows, run_ids)

@@ -82,28 +82,60 @@ def _grow(columns: list[str], size: int, seed: int):
     return grow
 
 
-def fit(rows: DataFrame, key: list[str], columns: list[str], n: int, trees: int = fixed.FOREST_TREES,
-        size: int = fixed.FOREST_SAMPLE, seed: int = fixed.SEED) -> dict:
-    """The forest as flat arrays."""
-    size = min(size, n)
-    samples = tree_samples(rows, key, columns, n, trees, size, seed)
-    # bounded by the parameters: trees * (2 * size - 1) rows at most
-    nodes = samples.groupBy("tree").applyInPandas(_grow(columns, size, seed), NODE).toPandas()
-    nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
-    starts = nodes.index[nodes["node"] == 0].to_numpy()
-    base = np.repeat(starts, np.diff(np.append(starts, len(nodes))))
-    children = np.column_stack([nodes["left"] + base, nodes["right"] + base])
+def grown(rows: DataFrame, key: list[str], columns: list[str], n: int, trees: int = fixed.FOREST_TREES,
+          size: int = fixed.FOREST_SAMPLE, seed: int = fixed.SEED) -> DataFrame:
+    """The forest as a relation, a row a node: tree, node (0 is the root), the feature's place in `columns`, cut (values up to
+    it go left), left, right, path. A leaf is its own child, and its path is its depth and what its rows would add to it.
+    At most trees * (2 * size - 1) rows."""
+    return tree_samples(rows, key, columns, n, trees, size, seed).groupBy("tree").applyInPandas(_grow(columns, size, seed), NODE)
+
+
+def arrays_of(nodes: DataFrame, size: int) -> dict:
+    """A node relation as flat arrays for scoring; `size` is the number of rows behind a tree."""
+    table = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+    starts = table.index[table["node"] == 0].to_numpy()
+    base = np.repeat(starts, np.diff(np.append(starts, len(table))))
+    children = np.column_stack([table["left"] + base, table["right"] + base])
     return {
         "roots": starts.astype(np.int32),
-        "feature": nodes["feature"].to_numpy(dtype=np.int32),
-        "cut": nodes["cut"].to_numpy(dtype=float),
+        "feature": table["feature"].to_numpy(dtype=np.int32),
+        "cut": table["cut"].to_numpy(dtype=float),
         "children": children.astype(np.int32).ravel(),  # of node i: left at 2i, right at 2i + 1
-        "path": nodes["path"].to_numpy(dtype=float),
+        "path": table["path"].to_numpy(dtype=float),
         "scale": average_path(size) or 1.0,
         "levels": max(1, math.ceil(math.log2(max(size, 2)))),
     }
 
 
+def fit(rows: DataFrame, key: list[str], columns: list[str], n: int, trees: int = fixed.FOREST_TREES,
+        size: int = fixed.FOREST_SAMPLE, seed: int = fixed.SEED) -> dict:
+    """The forest as flat arrays."""
+    size = min(size, n)
+    return arrays_of(grown(rows, key, columns, n, trees, size, seed), size)
+
+
+def boxes(nodes: DataFrame, features: int, levels: int) -> DataFrame:
+    """The leaves of a node relation as boxes: tree, low and high (arrays by feature; a point is inside where low < value
+    <= high), path. Parents meet their children level by level in joins on (tree, node)."""
+    endless = [F.array(F.lit(sign * float("inf"))) for sign in (-1, 1)]
+    at = nodes.filter("node = 0").select("tree", F.col("node").alias("_at"), *[
+        F.array_repeat(edge[0], features).alias(name) for edge, name in zip(endless, ("low", "high"))])
+    made = None
+    for _ in range(levels + 1):
+        here = at.join(nodes.withColumnRenamed("node", "_at"), ["tree", "_at"])
+        ends = here.filter(F.col("left") == F.col("_at")).select("tree", "low", "high", "path")
+        made = ends if made is None else made.unionByName(ends)
+        inner = here.filter(F.col("left") != F.col("_at"))
+
+        def put(edges: str, value: Column) -> Column:
+            return F.transform(edges, lambda x, i: F.when(i == F.col("feature"), value).otherwise(x))
+
+        sides = [inner.select("tree", F.col("left").alias("_at"), "low", put("high", F.col("cut")).alias("high")),
+                 inner.select("tree", F.col("right").alias("_at"), put("low", F.col("cut")).alias("low"), "high")]
+        at = sides[0].unionByName(sides[1])
+    return made
+
+
 def path_scores(points: np.ndarray, forest: dict, chunk: int = 256) -> np.ndarray:
     """2 ** (-mean path / expected path) for every row; higher is more anomalous.
 

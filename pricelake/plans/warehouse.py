@@ -9,6 +9,7 @@ from pricelake import fixed_values as fixed
 from pricelake.functions import dates, numbers
 from pricelake.operators.dedup import keep_last
 from pricelake.schemas import OBSERVATION_COLUMNS, STAGED_PRODUCT_COLUMNS
+from pricelake.sources.lake import Lake
 
 
 def stage_products(products: DataFrame) -> DataFrame:
@@ -199,3 +200,13 @@ PUBLISHED = {
 
 def publish(name: str, scores: DataFrame) -> DataFrame:
     return scores.select(*PUBLISHED[name])
+
+
+def store_forecast(lake: Lake, scores: DataFrame, target: str) -> int:
+    """Replace the stored forecasts of one target; those of the others stay."""
+    return lake.write(publish("ml_forecast", scores), "gold", "ml", f"forecast_{target}")
+
+
+def stored_forecasts(lake: Lake) -> DataFrame:
+    """The forecasts of every stored target as one table, whatever targets there are."""
+    return lake.read("gold", "ml", "forecast_*").select(*PUBLISHED["ml_forecast"])

@@ -158,15 +158,20 @@ def rollup_refreshed(feed: TradeFeed) -> DataFrame:
 
 @register("quality_gates", "gate:s passed:b", """
 select 'clean' as gate, true as passed union all select 'impossible', false
-union all select 'empty', false""")
+union all select 'empty', false
+union all select 'fresh', greatest(0, 1 - (date '2001-11-05' - max(observed_date)) / 30.0) >= 0.5 from observations
+union all select 'stale', greatest(0, 1 - (date '2001-11-05' + 20 - max(observed_date)) / 30.0) >= 0.5 from observations""")
 def quality_gates(feed: TradeFeed) -> DataFrame:
-    """The report of the observations passes a floor of half and no floor above one; that of no rows passes none."""
+    """The report of the observations passes a floor of half and no floor above one; that of no rows passes none. The
+    freshness gate looks at a report of the day and at one of twenty days later."""
     report = quality.quality_report(feed.observations, AS_OF, 0)
     empty = quality.quality_report(feed.observations.limit(0), AS_OF, 0)
     cases = [("clean", report, 0.5), ("impossible", report, 1.01), ("empty", empty, QUALITY_SLO)]
-    return feed.spark.createDataFrame(
-        [(name, not _refused(lambda r=r, floor=floor: quality.gate(r, floor=floor))) for name, r, floor in cases],
-        "gate string, passed boolean")
+    passed = [(name, not _refused(lambda r=r, floor=floor: quality.gate(r, floor=floor))) for name, r, floor in cases]
+    for name, later in (("fresh", 0), ("stale", 20)):
+        dated = quality.quality_report(feed.observations, AS_OF + dt.timedelta(days=later), 0)
+        passed.append((name, not _refused(lambda r=dated: quality.freshness_gate(r))))
+    return feed.spark.createDataFrame(passed, "gate string, passed boolean")
 
 
 @register("snapshot_deleted_keys", "product_id:i versions:i still_open:b", """

@@ -73,3 +73,11 @@ def spread(stored: DataFrame) -> DataFrame:
     row. A large table has more to begin with and is left as it is, without a shuffle."""
     cores = stored.sparkSession.sparkContext.defaultParallelism
     return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+
+
+def drop_stored(stored: DataFrame) -> None:
+    """Remove a table made by `cut` that nothing reads any more."""
+    spark = stored.sparkSession
+    for name in {path.rsplit("/", 1)[0] for path in stored.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
