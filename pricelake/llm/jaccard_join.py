@@ -13,7 +13,8 @@ only made by intersecting two nodes' sorted shingle hashes. Candidates come in t
    sent once to every cell of its tile. There, bit counts of hashed bitmaps bound every intersection from above; pairs of
    different components that the bound lets through are intersected, sorted array with sorted array.
 
-A cell holds a bounded number of nodes. Filters have fixed sizes; full ones let more through, never less.
+A cell holds a bounded number of nodes. The twice-seen filter is gathered in 2^32 places and broadcast in as many bits as its
+set ones ask for, up to a bound; full filters let more through, never less.
 """
 
 from __future__ import annotations
@@ -34,9 +35,11 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100        # of the least similarity
 BANDS = 8
 FILTER_BITS = 24
-TWICE_BITS, SHARD_BITS = 27, 20         # of the filter of shingles that two nodes have, and of its shards
+TWICE_BITS, SHARD_BITS = 32, 22         # of the filter of shingles that two nodes have, as it is gathered, and of its shards
+FOLDED_BITS, LEAST_FOLDED = 29, 22      # bits of that filter as it is broadcast: 2^29 (64 MB) at most
+SPARE = 8                               # bits of the broadcast filter for each set one
 FAN_IN = 64                             # tasks whose filters meet in one place at a time
-HELD = 8_000_000                        # places of shingles that a task holds before it combines them
+HELD = 2_000_000                        # places of shingles that a task holds before it combines them
 TILE = 1024                             # nodes of a tile
 CELL = 1024                             # nodes of each side whose pairs one task compares
 BAND_RATIO = 4 / 3
@@ -137,19 +140,19 @@ class Sets:
         standing = _standing_of(self.chosen)
 
         def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            places, twice, held = [], [], 0
+            places, twice, held, base = [], [], 0, 0
             for batch in batches:
                 for block in spans.blocks(batch.column(1)):
                     grams, firsts = shingle_sets(block)
                     stands = standing(batch.column(0).slice(block.first, block.last - block.first), grams, firsts)
-                    places.append(_twice_place(grams[stands[spans.rows_of(firsts)]]))
+                    places.append(_twice_place(grams[stands[spans.rows_of(firsts)]]).astype(np.uint32))
                     held += len(places[-1])
-                    if held > HELD:
+                    if held > max(HELD, base):
                         once, more = _once_and_twice(places)
-                        places, held = [once], len(once) // 2
+                        places, held, base = [once], 0, len(once)
                         twice.append(more)
             once, more = _once_and_twice(places)
-            twice = np.unique(np.concatenate([*twice, more]))
+            once, twice = once.astype(np.int64), np.unique(np.concatenate([*twice, more])).astype(np.int64)
             shards = np.arange((1 << TWICE_BITS - SHARD_BITS) + 1) << SHARD_BITS
             at, also = np.searchsorted(once, shards), np.searchsorted(twice, shards)
             for shard in np.flatnonzero(np.diff(at)):
@@ -163,10 +166,14 @@ class Sets:
             tasks = -(-tasks // FAN_IN)
             grouped = found.withColumn("part", (F.col("part") / FAN_IN).cast("int")).groupBy("shard", "part")
             found = grouped.applyInPandas(lambda key, rows: _seen_by_all(rows).assign(part=key[1]), schema + ", part int")
-        bits = np.zeros((1 << TWICE_BITS - SHARD_BITS, (1 << SHARD_BITS) // 8), np.uint8)
-        for row in found.drop("part").groupBy("shard").applyInPandas(_seen_twice, "shard int, bits binary").collect():
-            bits[row.shard] = np.frombuffer(row.bits, np.uint8)
-        return bits.reshape(-1)
+        merged = cut(found.drop("part").groupBy("shard").applyInPandas(_seen_twice, "shard int, twice binary, n long"), "twice-seen")
+        total = merged.agg(F.sum("n")).first()[0] or 0
+        bits = min(max((SPARE * total).bit_length(), LEAST_FOLDED), FOLDED_BITS)
+        folds = merged.groupBy(F.pmod("shard", F.lit(1 << bits - SHARD_BITS)).alias("fold"))
+        whole = np.zeros((1 << bits - SHARD_BITS, (1 << SHARD_BITS) // 8), np.uint8)
+        for row in folds.applyInPandas(_folded, "fold int, bits binary").toLocalIterator():
+            whole[row.fold] = np.frombuffer(row.bits, np.uint8)
+        return whole.reshape(-1)
 
     def prefixes(self) -> DataFrame:
         """(token, node) of the first quarter of each node's set as far as other nodes may have the token."""
@@ -178,7 +185,7 @@ class Sets:
                     grams, firsts = shingle_sets(block)
                     stands = standing(batch.column(0).slice(block.first, block.last - block.first), grams, firsts)
                     size, row = np.diff(firsts), spans.rows_of(firsts)
-                    shared = _in(twice.value, _twice_place(grams))
+                    shared = _in(twice.value, _twice_place(grams) & (8 * len(twice.value) - 1))
                     upto = np.concatenate([[0], np.cumsum(shared)])
                     alone = size - (upto[firsts[1:]] - upto[firsts[:-1]])
                     quarter = size - (NUMERATOR * size + DENOMINATOR - 1) // DENOMINATOR + 1
@@ -275,7 +282,7 @@ def _twice_place(grams: np.ndarray) -> np.ndarray:
 
 def _once_and_twice(places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All places, and those that occur again."""
-    found, counts = np.unique(np.concatenate([*places, np.zeros(0, np.int64)]), return_counts=True)
+    found, counts = np.unique(np.concatenate([*places, np.zeros(0, np.uint32)]), return_counts=True)
     return found, found[counts > 1]
 
 
@@ -309,9 +316,16 @@ def _seen_by_all(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _seen_twice(rows: pd.DataFrame) -> pd.DataFrame:
+    twice = _met(rows)[1]
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "twice": [_gaps(twice)], "n": [len(twice)]})
+
+
+def _folded(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The shards that fall on one another when only the low bits of a place count."""
     bits = np.zeros(1 << SHARD_BITS, bool)
-    bits[_met(rows)[1]] = True
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "bits": [np.packbits(bits).tobytes()]})
+    for stored in rows["twice"]:
+        bits[_places(stored)] = True
+    return pd.DataFrame({"fold": [key[0]], "bits": [np.packbits(bits).tobytes()]})
 
 
 def _summary(batch: pa.RecordBatch) -> dict:
