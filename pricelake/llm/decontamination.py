@@ -189,13 +189,19 @@ def occurrences(hashed: np.ndarray, rows: np.ndarray, phrases: Phrases) -> tuple
         stays[1:] = (text[1:] != 1) | (text[:-1] != 1)
         text, places_in = text[stays], places_in[stays]
         index = FmIndex(text, len(phrases.vocabulary) + 2)
-        first, last = index.search(phrases.windows, phrases.lengths)
+        # only windows all of whose words are in the shard are searched
+        known = np.zeros(len(phrases.vocabulary) + 2, bool)
+        known[text] = True
+        asked = np.flatnonzero((known[phrases.windows] | (np.arange(reach + 1) >= phrases.lengths[:, None])).all(1))
+        if not len(asked):
+            continue
+        first, last = index.search(phrases.windows[asked], phrases.lengths[asked])
         many = last - first
         hit = np.repeat(np.arange(len(many)), many)
         if len(hit):
             within = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
             places.append(places_in[index.locate(first[hit] + within)])
-            windows.append(hit)
+            windows.append(asked[hit])
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(places), np.concatenate(windows)
@@ -230,7 +236,7 @@ def _find(values: pa.Array, phrases: Phrases | None) -> dict[str, pa.Array]:
         counts.append(np.diff(run_firsts))
         first.append(begins - firsts[owner])
         last.append(ends - firsts[owner])
-        items += [sorted(set(names)) for names in owned]
+        items += [sorted({name for name in names if name is not None}) for names in owned]
     return {"n_words": pa.array(np.concatenate(n_words), pa.int64()),
             "ranges": _range_arrays(np.concatenate(counts), np.concatenate(first), np.concatenate(last)),
             "items": pa.array(items, pa.list_(pa.string()))}
@@ -242,16 +248,17 @@ def find_windows(text: Column, benchmark: DataFrame, item: str = "item_id", item
     the benchmark, merged; and `items` that have occurring windows, sorted as strings.
 
     A window is `window` consecutive words of an item; a shorter item with words is one window. Null and empty texts have
-    no words; items without an id are left out; an empty benchmark finds nothing. Reads the benchmark when called.
+    no words; windows of items without an id are found, but these have no name to list; an empty benchmark finds nothing.
+    Repeated items and texts count once each; a text is searched in one piece however long it is. Reads the benchmark when
+    called.
     """
-    items = benchmark.filter(F.col(item).isNotNull()).select(
-        F.col(item).cast("string").alias("name"), F.coalesce(item_text, F.lit("")).alias("content"))
+    items = benchmark.select(F.col(item).cast("string").alias("name"), F.coalesce(item_text, F.lit("")).alias("content"))
     total = items.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     parts = max(-(-total // part_bytes), 1)
     found = []
     for part in range(parts):
         # a part is what one broadcast holds
-        own = items.filter(F.pmod(F.xxhash64("name"), F.lit(parts)) == part).orderBy("name", "content").collect()
+        own = items.filter(F.pmod(F.xxhash64("name", "content"), F.lit(parts)) == part).orderBy("name", "content").collect()
         shared = benchmark.sparkSession.sparkContext.broadcast(
             phrases_of([row.name for row in own], [row.content for row in own], window))
         found.append(arrow_struct(text, FOUND, lambda values, shared=shared: _find(values, shared.value)))
@@ -308,8 +315,7 @@ OP10_SQL = r"""
 WITH lowered AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 items AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
-    WHERE item_id IS NOT NULL),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 windows AS (SELECT DISTINCT item, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win, least(len(w), 10) AS n
     FROM items, LATERAL unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0),
 places AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win

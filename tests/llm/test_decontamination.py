@@ -16,15 +16,13 @@ def brute(text, items, window=10):
     own = OWN.findall(lowered(text))
     hit, names = set(), set()
     for name, content in items:
-        if name is None:
-            continue
         target = OWN.findall(lowered(content))
         n = min(window, len(target))
         wins = {tuple(target[i:i + n]) for i in range(len(target) - n + 1)} if n else set()
         for i in range(len(own) - n + 1 if n else 0):
             if tuple(own[i:i + n]) in wins:
                 hit |= set(range(i, i + n))
-                names.add(str(name))
+                names |= {str(name)} - {"None"}
     return len(own), len(hit), sorted(names)
 
 

@@ -92,6 +92,18 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_an_id_with_several_texts_is_judged_by_text(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    one, two = prose(rng, 80), prose(rng, 80)
+    rows = [(3, two, "en", "a", 1), (5, one, "en", "a", 1), (5, two, "en", "a", 1), (5, two, "en", "b", 1), (None, one, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, two), (5, one)]
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "near duplicates", "benchmark decontamination", "source mix"]
