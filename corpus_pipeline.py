@@ -15,6 +15,7 @@ from pricelake.llm.line_dedup import drop_repeated_lines
 from pricelake.llm.quality_classifier import keep_good, trained_scorer
 from pricelake.llm.source_mix import mix
 from pricelake.llm.tables import table
+from pricelake.operators.dedup import keep_last
 from pricelake.packaging import ship
 from pricelake.session import cut
 
@@ -50,15 +51,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; rows without an id stay if they are
-    copies of nothing. Of repeated rows one stays."""
+    copies of nothing. Of repeated rows one stays, and of rows with one id and different texts each is judged by its text."""
     ship(spark)
-    found = near_duplicates(docs)
-    first = found.filter(F.col("doc").eqNullSafe(F.col("component_id"))).select("doc", "n_shingles").distinct()
-    kept = docs.join(first.select(F.col("doc").alias("_doc")), docs["doc_id"].eqNullSafe(F.col("_doc")), "left_semi")
-    doubled = cut(kept.groupBy("doc_id").count().filter("count > 1"), "doubled-ids")
-    if doubled.isEmpty():
-        return kept
-    return kept.dropDuplicates()
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = near_duplicates(docs)
+        first = found.filter(F.col("doc").eqNullSafe(F.col("component_id"))).select(F.col("doc").alias("_doc")).distinct()
+        return docs.join(first, docs["doc_id"].eqNullSafe(F.col("_doc")), "left_semi")
+    # an id with several rows does not name a text: (id, text) does, and rows without an id come last
+    named = docs.withColumn("_named", F.concat(
+        F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("~")), F.lit(":"), F.hex(F.xxhash64("text"))))
+    found = near_duplicates(named, doc="_named")
+    first = found.filter("doc = component_id").select(F.col("doc").alias("_doc")).distinct()
+    kept = named.join(first, F.col("_named") == F.col("_doc"), "left_semi")
+    return keep_last(kept, ["_named"], ["doc_id"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +74,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often the mix takes each document: doc_id, source, size, source_size, target, copies."""
+    """How often the mix takes each document: doc_id, source, size, source_size, target, copies. Documents without words
+    have size 0; a null source is a source of its own."""
     ship(spark)
     return mix(docs)
 
@@ -81,7 +87,8 @@ ORACLE_SQL = None   # the classifier and the balanced sampling are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of the documents that come through all stages."""
+    """The mix of the documents that come through all stages. An empty table gives an empty mix; further columns of documents
+    are carried up to the mix, whatever their names."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
