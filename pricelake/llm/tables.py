@@ -10,11 +10,21 @@ from pyspark.sql import functions as F
 
 from pricelake.packaging import ship
 
+BATCH_BYTES = "4m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 SPACE_WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with this package on its executors. Texts may be long, so Arrow batches end by bytes and not only by rows;
+    a smaller size set by the user stays."""
+    if spark.conf.get(BATCH_SETTING, None) in (None, "2147483647", "2147483647b"):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    return ship(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fold(doc_id: Column, parts: int) -> Column:
