@@ -14,9 +14,8 @@ from pricelake.llm.jaccard_join import near_duplicates
 from pricelake.llm.line_dedup import drop_repeated_lines
 from pricelake.llm.quality_classifier import keep_good, trained_scorer
 from pricelake.llm.source_mix import mix
-from pricelake.llm.tables import table
+from pricelake.llm.tables import ready, table
 from pricelake.operators.dedup import keep_last
-from pricelake.packaging import ship
 from pricelake.session import cut
 
 REJECTED_BELOW = 0.3    # a document goes only if its quality score is clearly low
@@ -43,7 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that ten or more documents have. Null texts stay null."""
-    ship(spark)
+    ready(spark)
     kept = drop_repeated_lines(docs, text="text", doc="doc_id")
     kept = kept.withColumn("_kept", F.when(F.col("text").isNotNull(), F.col("_lines.kept")))
     return _with_text(docs, kept, "_kept")
@@ -52,7 +51,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id; rows without an id stay if they are
     copies of nothing. Of repeated rows one stays, and of rows with one id and different texts each is judged by its text."""
-    ship(spark)
+    ready(spark)
     if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
         found = near_duplicates(docs)
         first = found.filter(F.col("doc").eqNullSafe(F.col("component_id"))).select(F.col("doc").alias("_doc")).distinct()
@@ -76,7 +75,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often the mix takes each document: doc_id, source, size, source_size, target, copies. Documents without words
     have size 0; a null source is a source of its own."""
-    ship(spark)
+    ready(spark)
     return mix(docs)
 
 
