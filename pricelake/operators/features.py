@@ -66,6 +66,25 @@ def daily_features(observations: DataFrame) -> DataFrame:
     )
 
 
+REACH = 30      # rows that the longest window looks at, its own included
+
+
+def series_tail(observations: DataFrame, rows: int = REACH) -> DataFrame:
+    """The newest rows of each series: all that features of later days need of the past."""
+    newest = Window.partitionBy("product_id").orderBy(F.desc("observed_date"))
+    return observations.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= rows).drop("_back")
+
+
+def increment(tail: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The feature rows of days later than the tail's, and the next tail; what is stored is not read again.
+
+    A product's fresh days must follow its stored ones; a product with late days is computed anew from its series.
+    """
+    both = tail.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+    made = daily_features(both).filter("_fresh").drop("_fresh")
+    return made, series_tail(both.drop("_fresh"))
+
+
 def category_daily(observations: DataFrame, products: DataFrame) -> DataFrame:
     """Market aggregate per category and day; observations of unknown products do not count."""
     named = observations.join(products.select("product_id", "category"), "product_id")

@@ -20,12 +20,11 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0))
 
 
-def dimensions(observations: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row of unrounded dimensions.
+COUNTS = ("n", "nulls", "valid", "priced", "fair")
+
 
-    Two aggregations with map-side combine: first per product and day, which also counts each key
-    once for uniqueness (null keys included), then over the keys.
-    """
+def _per_key(observations: DataFrame) -> DataFrame:
+    """Counts by product and day, which also meets each key once for uniqueness (null keys included)."""
     valid = (
         (F.col("price") > 0)
         & F.col("discount_percentage").between(0, fixed.MAX_DISCOUNT)
@@ -34,20 +33,38 @@ def dimensions(observations: DataFrame, as_of: dt.date) -> DataFrame:
     nulls = sum((F.col(c).isNull().cast("bigint") for c in fixed.CRITICAL_COLUMNS), F.lit(0))
     has_original = F.col("original_price").isNotNull()
     fair = has_original & (F.col("price") <= F.col("original_price") * fixed.PRICE_TOLERANCE)
-    per_key = observations.groupBy("product_id", "observed_date").agg(
+    return observations.groupBy("product_id", "observed_date").agg(
         F.count("*").alias("n"),
         F.sum(nulls).alias("nulls"),
         _holds(valid).alias("valid"),
         _holds(has_original).alias("priced"),
         _holds(fair).alias("fair"),
     )
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.count("*").alias("keys"),
-        F.sum("nulls").alias("nulls"),
-        F.sum("valid").alias("valid"),
-        F.sum("priced").alias("priced"),
-        F.sum("fair").alias("fair"),
+
+
+def daily_counts(observations: DataFrame) -> DataFrame:
+    """The state behind a report: observed_date, keys and the other counts, a row a day. A key belongs to one day, so states of
+    different days add up; a day that comes again whole replaces its row (`merged_counts`)."""
+    return _per_key(observations).groupBy("observed_date").agg(
+        F.count("*").alias("keys"), *[F.sum(c).alias(c) for c in COUNTS])
+
+
+def merged_counts(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The state after a delivery of whole days."""
+    days = fresh.select(F.col("observed_date").alias("_day"))
+    kept = stored.join(days, F.col("observed_date").eqNullSafe(F.col("_day")), "left_anti")
+    return kept.unionByName(fresh)
+
+
+def dimensions(observations: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row of unrounded dimensions, from two aggregations with map-side combine: by key, then over the keys."""
+    return dimensions_of(_per_key(observations).withColumn("keys", F.lit(1)), as_of)
+
+
+def dimensions_of(counts: DataFrame, as_of: dt.date) -> DataFrame:
+    """The same from counts that add up, such as the daily state."""
+    totals = counts.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) if c in ("n", "keys") else F.sum(c).alias(c) for c in (*COUNTS, "keys")],
         F.max("observed_date").alias("latest"),
     )
     n = F.col("n")
@@ -68,8 +85,18 @@ def quality_report(observations: DataFrame, as_of: dt.date, rejected_rows: int |
                    computed_at: dt.datetime | None = None) -> DataFrame:
     """The one-row report: rounded dimensions, composite of the rounded values, counts. `rejected_rows` may be a
     scalar subquery."""
+    return _report(dimensions(observations, as_of), rejected_rows, computed_at)
+
+
+def quality_report_of(counts: DataFrame, as_of: dt.date, rejected_rows: int | Column = 0,
+                      computed_at: dt.datetime | None = None) -> DataFrame:
+    """The report from the daily state; the observations are not read."""
+    return _report(dimensions_of(counts, as_of), rejected_rows, computed_at)
+
+
+def _report(found: DataFrame, rejected_rows: int | Column, computed_at: dt.datetime | None) -> DataFrame:
     names = list(fixed.QUALITY_WEIGHTS)
-    rounded = dimensions(observations, as_of).select(
+    rounded = found.select(
         *[F.round(c, 4).alias(c) for c in names], "rows_evaluated")
     composite = sum((F.col(c) * w for c, w in fixed.QUALITY_WEIGHTS.items()), F.lit(0.0))
     stamp = F.lit(computed_at.isoformat(sep=" ")) if computed_at else F.current_timestamp()

@@ -57,6 +57,29 @@ def list_products(performance: DataFrame, segments: DataFrame, page: int = 1,
     return _with_segment(rows, segments).orderBy(*order)
 
 
+def list_after(performance: DataFrame, segments: DataFrame, cursor: tuple | None = None,
+               page_size: int = fixed.PAGE_SIZE_DEFAULT, sort_by: str = fixed.DEFAULT_SORT,
+               descending: bool = False, **filters) -> DataFrame:
+    """The page that follows a cursor, the (sort value, product_id) of the last row seen; the first page without one.
+
+    However deep the page, each task keeps one page of rows and the filter skips what lies before the cursor.
+    """
+    if page_size < 1:
+        raise ValueError("page_size starts at 1")
+    column = sort_by if sort_by in fixed.SORTABLE else fixed.DEFAULT_SORT
+    order = [F.desc_nulls_last(column) if descending else F.asc_nulls_last(column), F.asc("product_id")]
+    rows = _matching(performance, **filters)
+    if cursor is not None:
+        value, last = cursor
+        later = F.col("product_id") > F.lit(last)
+        if value is None:       # products without a value come last
+            rows = rows.filter(F.col(column).isNull() & later)
+        else:
+            beyond = F.col(column) < F.lit(value) if descending else F.col(column) > F.lit(value)
+            rows = rows.filter(beyond | ((F.col(column) == F.lit(value)) & later) | F.col(column).isNull())
+    return _with_segment(rows.orderBy(*order).limit(page_size_of(page_size)), segments).orderBy(*order)
+
+
 def page_info(performance: DataFrame, page: int = 1, page_size: int = fixed.PAGE_SIZE_DEFAULT,
               **filters) -> DataFrame:
     """Total of the filtered listing and the page arithmetic; never less than one page."""

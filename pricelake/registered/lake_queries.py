@@ -13,7 +13,7 @@ from pricelake.operators.contracts import PRICE_FACTS, PRODUCTS, REASON
 from pricelake.operators.observations import normalise_time, resolve_dates
 from pricelake.plans import onboarding
 from pricelake.registered.entries import register
-from pricelake.session import scratch_path
+from pricelake.session import cut, scratch_path
 from pricelake.sources import catalog_files, open_prices
 from pricelake.sources.lake import Lake
 from pricelake.sources.trade_feed import AS_OF, LEXICON, RULES, TradeFeed
@@ -446,20 +446,50 @@ for _name in DIMENSIONS:
     _dimension(_name)
 
 
-@register("quality_report", "completeness:d uniqueness:d validity:d consistency:d freshness:d "
-          "composite_score:d rows_evaluated:i rejected_rows:i", f"""
+REPORT = ("completeness:d uniqueness:d validity:d consistency:d freshness:d "
+          "composite_score:d rows_evaluated:i rejected_rows:i")
+REPORT_SQL = f"""
 select *, round(0.25 * completeness + 0.25 * uniqueness + 0.20 * validity + 0.15 * consistency
                 + 0.15 * freshness, 4) as composite_score
 from (select round({COMPLETENESS}, 4) as completeness, round({UNIQUENESS}, 4) as uniqueness,
              round({VALIDITY}, 4) as validity, round({CONSISTENCY}, 4) as consistency,
              round({FRESHNESS}, 4) as freshness, count(*) as rows_evaluated,
              (select count(*) from fact_reasons where reason is not null) as rejected_rows
-      from dirty_observations)""")
+      from dirty_observations)"""
+
+
+@register("quality_report", REPORT, REPORT_SQL)
 def quality_report(feed: TradeFeed) -> DataFrame:
     rejected = feed.bronze_facts()[1].agg(F.count("*").alias("n")).scalar()
     return quality.quality_report(dirty_observations(feed), AS_OF, rejected)
 
 
+@register("quality_report_from_state", REPORT, REPORT_SQL)
+def quality_report_from_state(feed: TradeFeed) -> DataFrame:
+    """Three deliveries of whole days, the last of which brings some days again; the report reads the daily state alone."""
+    rejected = feed.bronze_facts()[1].agg(F.count("*").alias("n")).scalar()
+    rows, day = dirty_observations(feed), F.coalesce(F.col("observed_date"), F.lit("1970-01-01").cast("date"))
+    state = cut(quality.daily_counts(rows.filter(day <= F.lit("1998-07-01"))), "quality-state")
+    for low, high in (("1998-07-01", "2000-03-01"), ("2000-02-01", "9999-12-31")):
+        fresh = quality.daily_counts(rows.filter((day > F.lit(low)) & (day <= F.lit(high))))
+        state = cut(quality.merged_counts(state, cut(fresh, "quality-days")), "quality-state")
+    return quality.quality_report_of(state, AS_OF, rejected)
+
+
+@register("features_incremental", OBSERVATION + " price_lag_1:d price_lag_7:d price_ma_7:d "
+          "price_ma_30:d price_std_7:d price_pct_change:d velocity_lag_1:d velocity_ma_7:d "
+          "day_of_week:i is_weekend:b month_num:i", "select * from features")
+def features_incremental(feed: TradeFeed) -> DataFrame:
+    """A first load and two increments, each computed from its days and the tail of the series."""
+    rows, day = feed.observations.drop("month"), F.col("observed_date")
+    first = rows.filter(day <= F.lit("1998-07-01"))
+    made, tail = cut(features.daily_features(first), "features"), cut(features.series_tail(first), "series-tail")
+    for low, high in (("1998-07-01", "2000-03-01"), ("2000-03-01", "9999-12-31")):
+        found, next_tail = features.increment(tail, rows.filter((day > F.lit(low)) & (day <= F.lit(high))))
+        made, tail = made.unionByName(cut(found, "features")), cut(next_tail, "series-tail")
+    return made
+
+
 @register("check_not_null", "fact_id:i observed_date:t",
           "select * from dirty_observations where price is null")
 def check_not_null(feed: TradeFeed) -> DataFrame:

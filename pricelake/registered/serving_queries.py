@@ -13,6 +13,8 @@ from pricelake.registered.entries import register
 from pricelake.registered.lake_queries import CATEGORY_DAY, dirty_observations
 from pricelake.registered.model_queries import zscore_flags
 from pricelake.registered.warehouse_queries import DEAL, PERFORMANCE
+from pricelake.session import scratch_path
+from pricelake.sources.lake import Lake
 from pricelake.sources.trade_feed import AS_OF, TradeFeed
 
 FILTERS = {"category": "Hardware", "search": "O", "min_price": 20000.0, "max_price": 60000.0,
@@ -35,6 +37,30 @@ def srv_list_products(feed: TradeFeed) -> DataFrame:
                                  sort_by="avg_price", descending=True, **FILTERS)
 
 
+@register("srv_list_after", PERFORMANCE + " segment_name:s", f"""
+select p.*, s.segment_name from performance p left join segments s using (product_id)
+where {FILTERED_SQL} order by avg_price desc, product_id limit 5 offset 10""")
+def srv_list_after(feed: TradeFeed) -> DataFrame:
+    """The third page, each reached from the last row of the one before."""
+    page, cursor = None, None
+    for _ in range(3):
+        page = serving.list_after(feed.performance, price_bands(feed), cursor, 5, "avg_price", True, **FILTERS)
+        rows = page.select("avg_price", "product_id").collect()
+        cursor = tuple(rows[-1]) if rows else cursor
+    return page
+
+
+@register("srv_history_bucketed", "observed_date:t price:d original_price:d discount_percentage:d rating:d "
+          "sales_velocity:d", """
+select dd.full_date as observed_date, f.* from facts f join dim_date dd using (date_sk)
+where f.product_nk = 10""")
+def srv_history_bucketed(feed: TradeFeed) -> DataFrame:
+    """The same history from facts in buckets of the product, of which one is read."""
+    lake = Lake(feed.spark, scratch_path(feed.spark, "lake"))
+    facts = lake.write_bucketed(feed.facts, "warehouse", "price_history", "product_nk", 16, ["product_nk", "date_sk"])
+    return serving.price_history(facts, feed.dim_date, 10)
+
+
 @register("srv_page_info", "page:i page_size:i total:i total_pages:i", f"""
 select 2 as page, 200 as page_size, count(*) as total,
        greatest(1, cast(ceil(count(*) / 200.0) as bigint)) as total_pages

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.fixed_values import SNAPSHOT_CHECK_COLUMNS
+from pricelake.operators.scd2 import snapshot
 from pricelake.plans import warehouse
 from pricelake.registered.entries import register
 from pricelake.registered.lake_queries import CATEGORY_DAY, OBSERVATION, OBSERVATION_SQL
-from pricelake.sources.trade_feed import TradeFeed
+from pricelake.session import scratch_path
+from pricelake.sources.lake import Lake
+from pricelake.sources.trade_feed import FIRST_SNAPSHOT, SECOND_SNAPSHOT, TradeFeed
 
 STAGED = ("product_name:s category:s subcategory:s brand:s audience:s color_options:s base_price:d "
           "base_rating:d image_url:s ")
@@ -50,6 +54,26 @@ def fact_price_observation(feed: TradeFeed) -> DataFrame:
         warehouse.stage_observations(feed.observations), feed.dim_product)
 
 
+@register("fact_copartitioned", FACT, "select * from facts")
+def fact_copartitioned(feed: TradeFeed) -> DataFrame:
+    """The validity join of observations and history that are stored in like buckets of the product."""
+    lake = Lake(feed.spark, scratch_path(feed.spark, "lake"))
+    observations = lake.write_bucketed(
+        warehouse.stage_observations(feed.observations), "silver", "by_product", "product_id", 16, ["product_id", "observed_date"])
+    dim = lake.write_bucketed(feed.dim_product, "warehouse", "dim_by_product", "product_nk", 16)
+    return warehouse.fact_price_observation(observations, dim)
+
+
+@register("scd2_snapshot_hashed", "product_id:i " + STAGED + "valid_from:t valid_to:t", "select * from history")
+def scd2_snapshot_hashed(feed: TradeFeed) -> DataFrame:
+    """Two snapshots by a digest of the checked columns, between tables in like buckets."""
+    lake, check = Lake(feed.spark, scratch_path(feed.spark, "lake")), SNAPSHOT_CHECK_COLUMNS
+    first = snapshot(None, warehouse.stage_products(feed.products), "product_id", check, FIRST_SNAPSHOT, hashed=True)
+    first = lake.write_bucketed(first, "warehouse", "history", "product_id", 8)
+    second = lake.write_bucketed(warehouse.stage_products(feed.changed_products()), "silver", "delivered", "product_id", 8)
+    return snapshot(first, second, "product_id", check, SECOND_SNAPSHOT, hashed=True)
+
+
 @register("fact_incremental_window", FACT + " reloaded:b", """
 select *, date_sk > 19980628 as reloaded from facts""")
 def fact_incremental_window(feed: TradeFeed) -> DataFrame:

@@ -27,6 +27,10 @@ def schema_fingerprint(df: DataFrame) -> str:
     return hashlib.md5("\n".join(columns).encode(), usedforsecurity=False).hexdigest()[:16]
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 @dataclass(frozen=True)
 class Lake:
     """A lake below `root`, any folder or object-store URI Hadoop can reach."""
@@ -158,6 +162,32 @@ class Lake:
         self.write(report, "gold", "quality_report", mode="append")
         report.write.mode("overwrite").json(self.path("gold", "quality_report_json"))
 
+    # ---- tables in buckets of a key ----
+    def _bucket_table(self, layer: str, name: str) -> str:
+        return f"lake_{hashlib.md5(self.path(layer, name).encode()).hexdigest()}"
+
+    def write_bucketed(self, df: DataFrame, layer: str, name: str, key: str, buckets: int, sort: list[str] | None = None) -> DataFrame:
+        """Replace a table, stored in buckets of `key` and sorted in each. Two tables with as many buckets of their keys join
+        without a shuffle, and one key's rows are in one bucket. The layout is recorded, so any session can open it."""
+        table, order = self._bucket_table(layer, name), sort or [key]
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        (df.repartition(buckets, key).write.mode("overwrite").option("compression", "zstd").option("path", self.path(layer, name))
+         .bucketBy(buckets, key).sortBy(*order).saveAsTable(table))
+        row = self.spark.createDataFrame([(key, buckets, order, _ddl(df))],
+                                         "key string, buckets int, sort array<string>, columns string")
+        self.write(row.coalesce(1), "state", "layouts", layer, name)
+        return self.bucketed(layer, name)
+
+    def bucketed(self, layer: str, name: str) -> DataFrame:
+        """A table written by `write_bucketed`; its layout is read if this session does not know it yet."""
+        table = self._bucket_table(layer, name)
+        if not self.spark.catalog.tableExists(table):
+            layout = self.read("state", "layouts", layer, name).first()
+            order = ", ".join(f"`{c}`" for c in layout["sort"])
+            self.spark.sql(f"CREATE TABLE {table} ({layout['columns']}) USING parquet CLUSTERED BY (`{layout['key']}`) "
+                           f"SORTED BY ({order}) INTO {layout['buckets']} BUCKETS LOCATION '{self.path(layer, name)}'")
+        return self.spark.table(table)
+
     # ---- versioned tables: new files first, then a pointer row ----
     def switch(self, df: DataFrame, layer: str, name: str) -> int:
         """Replace a table that `df` itself may read: write a new version, then point at it."""

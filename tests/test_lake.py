@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricelake.operators.checks import CheckFailed
 from pricelake.operators.dedup import keep_last
 from pricelake.operators.observations import orphan_facts
-from pricelake.schemas import schema
+from pricelake.schemas import OBSERVATION_COLUMNS, schema
 from pricelake.sources import catalog_files, open_prices
 from pricelake.sources.lake import schema_fingerprint
 
@@ -188,3 +188,48 @@ def test_last_row_follows_the_files_order(spark, lake, tmp_path):
     lake.land(frame, "s", "products", "2026-01-01")
     last = keep_last(lake.landed("s", "products", "2026-01-01", with_batch=True), ["product_id"], ["batch_id", "_ordinal"])
     assert {r["product_id"]: r["name"] for r in last.collect()}[1] == "new1"
+
+
+# ---- tables in buckets ----
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_key_reads_one_bucket_in_any_session(spark, lake, request):
+    # only a scan that keeps its buckets says how many it reads; others skip the same files
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled"))
+    rows = spark.range(4000).selectExpr("id % 100 as product_nk", "cast(id / 100 as int) as date_sk", "id * 1.0 as price")
+    facts = lake.write_bucketed(rows, "warehouse", "by_product", "product_nk", 8, ["product_nk", "date_sk"])
+    one = facts.filter("product_nk = 7")
+    assert "SelectedBucketsCount: 1 out of 8" in _plan(one) and one.count() == 40
+    assert len(facts.inputFiles()) == 8
+    spark.sql(f"DROP TABLE {lake._bucket_table('warehouse', 'by_product')}")     # as a session that does not know it
+    again = lake.bucketed("warehouse", "by_product")
+    assert "SelectedBucketsCount: 1 out of 8" in _plan(again.filter("product_nk = 7")) and again.count() == 4000
+    lake.write_bucketed(rows.limit(5), "warehouse", "by_product", "product_nk", 8)
+    assert lake.bucketed("warehouse", "by_product").count() == 5
+
+
+def test_like_buckets_join_without_a_shuffle(spark, lake, request):
+    from pricelake.operators.scd2 import snapshot
+    from pricelake.plans import warehouse
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    products = spark.range(50).selectExpr("id as product_id", "concat('p', id) as product_name", "cast(null as string) as brand")
+    changed = products.withColumn("brand", F.when(F.col("product_id") % 5 == 0, F.lit("")))     # null becomes an empty text
+    first = snapshot(None, products, "product_id", ["product_name", "brand"], dt.datetime(2025, 1, 1), hashed=True)
+    first = lake.write_bucketed(first, "warehouse", "history", "product_id", 4)
+    second = lake.write_bucketed(changed, "silver", "delivered", "product_id", 4)
+    history = snapshot(first, second, "product_id", ["product_name", "brand"], dt.datetime(2026, 1, 1), hashed=True)
+    assert "Exchange" not in _plan(history) and history.count() == 60
+    dim = lake.write_bucketed(history.selectExpr(
+        "product_id as product_nk", "concat(product_id, valid_from) as product_sk", "valid_from", "coalesce(valid_to, timestamp '9999-01-01') as valid_to"),
+        "warehouse", "dim", "product_nk", 4)
+    names = [c for c in OBSERVATION_COLUMNS if c not in ("product_id", "observed_date")]
+    observed = spark.range(100).selectExpr("id % 50 as product_id", "date '2025-06-01' + cast(id / 50 as int) * 300 as observed_date",
+                                           *[f"1 as {c}" for c in names])
+    facts = warehouse.fact_price_observation(
+        lake.write_bucketed(observed, "silver", "by_product", "product_id", 4, ["product_id", "observed_date"]), dim)
+    assert "Exchange" not in _plan(facts) and facts.count() == 100

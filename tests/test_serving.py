@@ -34,6 +34,23 @@ def test_page_arithmetic(performance, segments):
     assert seen == sorted(seen) and len(set(seen)) == 23
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_pages_after_a_cursor_equal_numbered_pages(performance, segments, descending):
+    """Also across ties and into the products without a value, which come last."""
+    mixed = performance.withColumn("avg_price", F.when(F.col("product_id") % 4 > 0, F.col("avg_price")))
+    cursor, seen = None, []
+    while rows := serving.list_after(mixed, segments, cursor, 5, "avg_price", descending).collect():
+        seen += [r["product_id"] for r in rows]
+        cursor = rows[-1]["avg_price"], rows[-1]["product_id"]
+    every = serving.list_products(mixed, segments, page=1, page_size=100, sort_by="avg_price", descending=descending).collect()
+    assert seen == [r["product_id"] for r in every] and len(seen) == 23
+
+
+def test_deep_pages_keep_one_page_of_rows(performance, segments):
+    plan = serving.list_after(performance, segments, (8.0, 1), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=5" in plan or "GlobalLimit 5" in plan
+
+
 def test_no_match_still_has_one_page(performance):
     info = serving.page_info(performance, category="Nothing").first()
     assert (info["total"], info["total_pages"]) == (0, 1)
