@@ -152,12 +152,13 @@ class Sets:
                         places, held, base = [once], 0, len(once)
                         twice.append(more)
             once, more = _once_and_twice(places)
-            once, twice = once.astype(np.int64), np.unique(np.concatenate([*twice, more])).astype(np.int64)
-            shards = np.arange((1 << TWICE_BITS - SHARD_BITS) + 1) << SHARD_BITS
-            at, also = np.searchsorted(once, shards), np.searchsorted(twice, shards)
+            twice = np.unique(np.concatenate([*twice, more]))
+            shards = (np.arange(1 << TWICE_BITS - SHARD_BITS) << SHARD_BITS).astype(np.uint32)
+            at, also = (np.append(np.searchsorted(x, shards), len(x)) for x in (once, twice))
+            inside = np.uint32((1 << SHARD_BITS) - 1)
             for shard in np.flatnonzero(np.diff(at)):
-                yield _seen_batch(shard, once[at[shard]:at[shard + 1]] - shards[shard],
-                                  twice[also[shard]:also[shard + 1]] - shards[shard])
+                yield _seen_batch(shard, (once[at[shard]:at[shard + 1]] & inside).astype(np.int64),
+                                  (twice[also[shard]:also[shard + 1]] & inside).astype(np.int64))
 
         schema = "shard int, once binary, twice binary"
         found = self.rows.mapInArrow(seen, schema).withColumn("part", F.spark_partition_id())
@@ -282,8 +283,11 @@ def _twice_place(grams: np.ndarray) -> np.ndarray:
 
 def _once_and_twice(places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All places, and those that occur again."""
-    found, counts = np.unique(np.concatenate([*places, np.zeros(0, np.uint32)]), return_counts=True)
-    return found, found[counts > 1]
+    every = np.concatenate([*places, np.zeros(0, np.uint32)])
+    every.sort()
+    again = every[1:] == every[:-1]
+    more = every[1:][again]
+    return every[np.append(np.ones(min(len(every), 1), bool), ~again)], more[np.append(np.ones(min(len(more), 1), bool), more[1:] != more[:-1])]
 
 
 def _seen_batch(shard: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
