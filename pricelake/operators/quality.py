@@ -23,8 +23,8 @@ def _holds(condition: Column) -> Column:
 COUNTS = ("n", "nulls", "valid", "priced", "fair")
 
 
-def _per_key(observations: DataFrame) -> DataFrame:
-    """Counts by product and day, which also meets each key once for uniqueness (null keys included)."""
+def _counted() -> list[Column]:
+    """The counts that need no key."""
     valid = (
         (F.col("price") > 0)
         & F.col("discount_percentage").between(0, fixed.MAX_DISCOUNT)
@@ -33,13 +33,25 @@ def _per_key(observations: DataFrame) -> DataFrame:
     nulls = sum((F.col(c).isNull().cast("bigint") for c in fixed.CRITICAL_COLUMNS), F.lit(0))
     has_original = F.col("original_price").isNotNull()
     fair = has_original & (F.col("price") <= F.col("original_price") * fixed.PRICE_TOLERANCE)
-    return observations.groupBy("product_id", "observed_date").agg(
+    return [
         F.count("*").alias("n"),
         F.sum(nulls).alias("nulls"),
         _holds(valid).alias("valid"),
         _holds(has_original).alias("priced"),
         _holds(fair).alias("fair"),
-    )
+    ]
+
+
+def _per_key(observations: DataFrame) -> DataFrame:
+    """Counts by product and day, which also meets each key once for uniqueness (null keys included)."""
+    return observations.groupBy("product_id", "observed_date").agg(*_counted())
+
+
+def _keys(observations: DataFrame) -> DataFrame:
+    """One row: the number of different keys (null keys included). Only keys are moved, and they are dealt first: most
+    occur once, so a task's table of them would be as long as its input."""
+    key = observations.select("product_id", "observed_date")
+    return key.repartition("product_id", "observed_date").distinct().agg(F.count("*").alias("keys"))
 
 
 def daily_counts(observations: DataFrame) -> DataFrame:
@@ -57,8 +69,9 @@ def merged_counts(stored: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def dimensions(observations: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row of unrounded dimensions, from two aggregations with map-side combine: by key, then over the keys."""
-    return dimensions_of(_per_key(observations).withColumn("keys", F.lit(1)), as_of)
+    """One row of unrounded dimensions, from two passes: the counts, which need no shuffle, and the different keys."""
+    counts = observations.agg(*_counted(), F.max("observed_date").alias("observed_date"))
+    return dimensions_of(counts.withColumn("keys", _keys(observations).scalar()), as_of)
 
 
 def dimensions_of(counts: DataFrame, as_of: dt.date) -> DataFrame:
