@@ -123,7 +123,8 @@ def latest_per_product(facts: DataFrame) -> DataFrame:
 def trending_deals(facts: DataFrame, dim: DataFrame, calendar: DataFrame,
                    min_discount: float = fixed.DEAL_MIN_DISCOUNT) -> DataFrame:
     """Products whose latest observation is discounted enough, dearest discount first."""
-    latest = latest_per_product(facts).filter(F.col("discount_percentage") >= min_discount)
+    shown = facts.select("product_sk", "product_nk", "date_sk", "price", "original_price", "discount_percentage", "rating")
+    latest = latest_per_product(shown).filter(F.col("discount_percentage") >= min_discount)
     product = dim.select("product_sk", "product_name", "category", "brand", "image_url")
     return (
         latest.join(product, "product_sk")
