@@ -36,7 +36,10 @@ def brand_of(brand: Column, manufacturer: Column) -> Column:
 
 
 def impute(products: DataFrame) -> DataFrame:
-    """Fill missing prices and ratings with the exact median; ratings to 1..5, one place. NaN is missing."""
+    """Fill missing prices and ratings with the exact median; ratings to 1..5, one place. NaN is missing.
+
+    `products` is read once for each pass that narrows a median and should be a stored table.
+    """
     products = products.withColumns({c: F.nullif(c, F.lit(float("nan"))) for c in ("base_price", "base_rating")})
     price = ranks.median(products, "base_price")
     rating = ranks.median(products, "base_rating")

@@ -158,7 +158,7 @@ def catalog_impute(feed: TradeFeed) -> DataFrame:
     rows = export_of(feed).select(
         "row", onboarding.price_of(F.col("final_price"), F.col("initial_price")).alias("base_price"),
         F.col("rating").try_cast("double").alias("base_rating"))
-    return onboarding.impute(rows)
+    return onboarding.impute(cut(rows, "priced"))
 
 
 @register("catalog_dense_id", "product_id:i row:i", f"""
