@@ -17,7 +17,7 @@ from pricelake.plans import serving, warehouse
 from pricelake.registered.entries import register
 from pricelake.registered.model_queries import zscore_flags
 from pricelake.registered.warehouse_queries import FACT
-from pricelake.session import scratch_path
+from pricelake.session import cut, scratch_path
 from pricelake.sources import catalog_files, open_prices
 from pricelake.sources.lake import Lake
 from pricelake.sources.trade_feed import AS_OF, TradeFeed
@@ -87,7 +87,7 @@ def quarantine_after_correction(feed: TradeFeed) -> DataFrame:
     """A day delivered with all its faults and again with those of even facts only; another day's faults were
     corrected altogether."""
     lake = _lake(feed)
-    _, bad = PRICE_FACTS.split(feed.last_facts(), check_unique=False)
+    bad = cut(PRICE_FACTS.split(feed.last_facts(), check_unique=False)[1], "rejected")
     other = str(AS_OF - dt.timedelta(days=1))
     for day, rows in ((DAY, bad), (other, bad), (DAY, bad.filter("fact_id % 2 = 0")), (other, bad.limit(0))):
         lake.quarantine(rows, "trade", "price_facts", day)
