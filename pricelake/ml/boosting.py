@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.session import cut, drop_stored
+from pricelake.session import bound_batches, cut, drop_stored
 
 BINS = 32
 CHUNK_ROWS = 1 << 16
@@ -266,6 +266,7 @@ def grow(table: DataFrame, features: list[str], models: list[Model], rounds: int
     `table` is read twice (sketch and chunks) and should be stored. Rows that train nothing get predictions too. A model
     without training rows predicts 0. Rerunning gives the same trees up to the order of sums.
     """
+    bound_batches(table.sparkSession)       # a chunk is a row of some megabytes
     keep = keep or []
     edges = edges if edges is not None else edges_of(table, features, bins)
     bins = max([len(e) for e in edges], default=0) + 1
