@@ -423,11 +423,17 @@ KEY = "product_id:i observed_date:t "
 @register("anomaly_robust_z", KEY + "price_pct_change:d robust_z:d", """
 select * from scored where robust_z is not null""")
 def anomaly_robust_z(feed: TradeFeed) -> DataFrame:
-    return anomaly.robust_z(feed.features)
+    return anomaly.robust_z(detector_features(feed))
+
+
+def detector_features(feed: TradeFeed) -> DataFrame:
+    """The columns that the detectors read, computed in the partitioning in which they are scored."""
+    wanted = dict.fromkeys([*anomaly.KEY, "price", "price_pct_change", "price_std_7", *fixed.FOREST_COLUMNS])
+    return feed.computed_features().select(*wanted)
 
 
 def scored(feed: TradeFeed) -> DataFrame:
-    return _once(feed, "scored", lambda: cut(anomaly.robust_z(feed.features), "robust_z"))
+    return _once(feed, "scored", lambda: cut(anomaly.robust_z(detector_features(feed)), "robust_z"))
 
 
 def zscore_flags(feed: TradeFeed) -> DataFrame:
@@ -524,7 +530,7 @@ def anomaly_forest_boxes(feed: TradeFeed) -> DataFrame:
 
 
 def detected(feed: TradeFeed) -> DataFrame:
-    return _once(feed, "detected", lambda: anomaly.detect(feed.features))
+    return _once(feed, "detected", lambda: anomaly.detect(detector_features(feed)))
 
 
 @register("ml_anomaly", KEY + "price:d price_pct_change:d robust_z:d iforest_score:d anomaly_type:s "
