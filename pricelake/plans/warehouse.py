@@ -144,18 +144,18 @@ def product_performance(facts: DataFrame, dim: DataFrame) -> DataFrame:
     """Rollup per product over the facts of its current version only.
 
     Facts are reduced to one row per version before they meet the dimension, so the join moves products
-    rather than observations.
+    rather than observations. Listings are filtered and sorted by the means, so these do not depend on the order of rows.
     """
     rolled = facts.groupBy("product_sk").agg(
-        F.avg("price").alias("avg_price"),
+        numbers.mean("price").alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.avg("rating").alias("avg_rating"),
+        numbers.mean("rating").alias("avg_rating"),
         F.max("review_count").alias("total_reviews"),
-        F.avg("discount_percentage").alias("avg_discount"),
+        numbers.mean("discount_percentage").alias("avg_discount"),
         numbers.ratio(F.stddev_samp("price"), F.avg("price")).alias("price_volatility"),
         F.count("*").alias("data_points"),
-        F.avg("sales_velocity").alias("avg_sales_velocity"),
+        numbers.mean("sales_velocity").alias("avg_sales_velocity"),
     )
     current = dim.filter("is_current").select(
         "product_sk", F.col("product_nk").alias("product_id"), "product_name", "category",
