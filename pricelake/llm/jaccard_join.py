@@ -11,7 +11,8 @@ only made by intersecting two nodes' sorted shingle hashes. Candidates come in t
 3. Nodes that hang together by such shingles form a cluster. A cluster is cut into tiles by size bands of a ratio of 4/3,
    and bands of more than `TILE` nodes into blocks; tiles of one band and of neighbouring bands meet in cells. Each text is
    sent once to every cell of its tile. There, bit counts of hashed bitmaps bound every intersection from above; pairs of
-   different components that the bound lets through are intersected, sorted array with sorted array.
+   different components that the bound lets through are intersected, sorted array with sorted array. A cluster that fits a
+   tile is one cell, parted by size bands in its task.
 
 A cell holds a bounded number of nodes. The twice-seen filter is gathered in 2^32 places and broadcast in as many bits as its
 set ones ask for, up to a bound; full filters let more through, never less.
@@ -159,6 +160,8 @@ class Sets:
             for shard in np.flatnonzero(np.diff(at)):
                 yield _seen_batch(shard, (once[at[shard]:at[shard + 1]] & inside).astype(np.int64),
                                   (twice[also[shard]:also[shard + 1]] & inside).astype(np.int64))
+            del once, twice, more, places
+            spans.release()
 
         schema = "shard int, once binary, twice binary"
         found = self.rows.mapInArrow(seen, schema).withColumn("part", F.spark_partition_id())
@@ -195,6 +198,7 @@ class Sets:
                         yield pa.RecordBatch.from_pydict({
                             "token": pa.array(grams[keep].view(np.int64)),
                             "node": pa.array(node_ids(grams, firsts)[row[keep]].view(np.int64))})
+            spans.release()
 
         return self.rows.mapInArrow(run, "token long, node long")
 
@@ -207,6 +211,9 @@ class Sets:
         members = (components(edges).withColumnRenamed("comp", "cluster").join(self.nodes, "node")
                    .withColumn("band", band))
         members = members.join(shared.select("node", "comp").distinct(), "node")
+        # a cluster that fits a tile is one cell, whose task parts it by size bands itself, so each text is sent once
+        whole = members.groupBy("cluster").agg((F.count("*") <= TILE).alias("whole"))
+        members = members.join(whole, "cluster").withColumn("band", F.when(F.col("whole"), F.lit(-1)).otherwise(F.col("band")))
         sizes = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
         members = cut(members.join(sizes, ["cluster", "band"]).select(
             "node", "comp", "cluster", "band", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
@@ -365,6 +372,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own[1].append(two)
         if own[0]:
             yield pa.RecordBatch.from_pydict({"a": pa.array(own[0], pa.int64()), "b": pa.array(own[1], pa.int64())})
+    sets.clear()
+    spans.release()
 
 
 def _similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -403,11 +412,26 @@ def _matrix(bitmaps: list[bytes]) -> np.ndarray:
 
 def _tile_pairs(comp: np.ndarray, side: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, int]]:
     """Pairs of a cell that the bitmaps let through: of different components and, where two tiles meet, one of each."""
-    rows = _matrix(bits)
+    if side.any():
+        yield from _band_pairs(comp, np.flatnonzero(side == 0), np.flatnonzero(side), size, bits)
+        return
+    band = np.floor(np.log(np.maximum(size, 1)) / np.log(BAND_RATIO)).astype(np.int64)
+    tiles = {b: np.flatnonzero(band == b) for b in np.unique(band).tolist()}
+    for b, own in tiles.items():
+        yield from _band_pairs(comp, own, own, size, bits)
+        if b + 1 in tiles:
+            yield from _band_pairs(comp, own, tiles[b + 1], size, bits)
+
+
+def _band_pairs(comp: np.ndarray, ones: np.ndarray, others: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Pairs of one row of each list, or of two rows of the list if they are the same."""
+    met = np.union1d(ones, others)
+    own = _matrix([bits[i] for i in met.tolist()])
+    rows = np.zeros((len(comp), own.shape[1]), np.uint64)
+    rows[met] = own
     many = np.bitwise_count(rows).sum(1).astype(np.int64)
-    two = bool(side.any())
-    for i in np.flatnonzero(side == 0) if two else range(len(comp) - 1):
-        j = np.flatnonzero(side) if two else np.arange(i + 1, len(comp))
+    for place, i in enumerate(ones.tolist()):
+        j = ones[place + 1:] if others is ones else others
         need = least_common(size[i], size[j])
         ok = (comp[j] != comp[i]) & (np.minimum(size[i], size[j]) >= need)
         j, need = j[ok], need[ok]
@@ -462,6 +486,8 @@ def _cell_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.append(batch.slice(low, high - low))
     if waiting:
         yield from finished()
+        waiting = []
+    spans.release()
 
 
 def components(links: DataFrame) -> DataFrame:

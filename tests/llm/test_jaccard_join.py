@@ -99,3 +99,29 @@ def test_components_of_chains(spark, n):
     links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101)], "a long, b long")
     found_ = {r.node: r.comp for r in op.components(links).collect()}
     assert found_ == {**{i: 0 for i in range(n + 1)}, 100: 100, 101: 100}
+
+
+def test_a_small_cluster_sends_each_text_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    def sent(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"a": batch.column(6), "b": batch.column(6)})
+
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(8 + 3 * i))) for i in range(6)]
+    sets = op.Sets(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    shared = sets.nodes.selectExpr("1L as token", "node", "node as comp")
+    monkeypatch.setattr(op, "_cell_work", sent)
+    counts = sets.cell_links(shared).groupBy("a").count().collect()
+    assert len(counts) == 6 and all(r["count"] == 1 for r in counts)
+
+
+def test_bands_of_a_whole_cluster_miss_no_link():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.sort(rng.permutation(base)[:n]) for n in (3, 4, 30, 40, 300, 390, 395, 400)] + [np.sort(base[:k]) for k in (200, 260, 300)]
+    size = np.array([len(x) for x in sets])
+    passed = set(op._tile_pairs(np.arange(len(sets)), np.zeros(len(sets), int), size, [op._signature(x) for x in sets]))
+    passed = {tuple(sorted(pair)) for pair in passed}
+    linked = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if op._similar(sets[i], sets[j])}
+    assert len(linked) > 5 and linked <= passed
