@@ -128,12 +128,14 @@ def load_late_window(facts: DataFrame, lake: Lake, table: str,
             stored = stored.filter(F.col("month_sk") >= F.lit(floor // 100))
             touched = cut(rows.select(parts[-1]).distinct(), "touched")
             rows = rows.unionByName(stored.join(touched, parts[-1], "left_semi").withColumn("_loaded", F.lit(0)))
-        merged = cut(keep_last(rows, ["product_nk", "date_sk"], ["_loaded"]).drop("_loaded"), "merged-days")
-        if merged.isEmpty():
+        # merging leaves a day's key, so the newest day is known from the rows
+        tally = cut(rows.agg(F.max("date_sk").cast("int").alias("date_sk"), F.count("*").alias("n")), "batch-day")
+        if not tally.first()["n"]:
             return
-        lake.write(merged.repartitionByRange("date_sk", "product_nk").sortWithinPartitions("date_sk", "product_nk"),
-                   "warehouse", table, partition_by=parts)
-        day = merged.agg(F.max("date_sk").cast("int").alias("date_sk"))
+        day = tally.select("date_sk")
+        # dealt once, in the order of the files: a key's rows meet in one range, where the last one is chosen
+        placed = keep_last(rows.repartitionByRange("date_sk", "product_nk"), ["product_nk", "date_sk"], ["_loaded"]).drop("_loaded")
+        lake.write(placed.sortWithinPartitions("date_sk", "product_nk"), "warehouse", table, partition_by=parts)
         if newest is not None:
             day = day.unionByName(newest).agg(F.max("date_sk").alias("date_sk"))
         lake.write(cut(day, "newest-day").withColumn("batch_id", F.lit(batch_id)).coalesce(1), "state", "newest_day", table,
