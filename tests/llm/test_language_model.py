@@ -112,3 +112,82 @@ def test_empty_table(spark):
     nothing = frame(spark, [])
     model, counts = op.fit(nothing.select("text"))
     assert op.score(nothing, "text", model, counts).count() == 0 and model.total == 0
+
+
+def plain_scores(text, model):
+    """log10 probability of each token of one text, a bit at a time."""
+    tokens = op.Tokens(next(spans.blocks(pa.array([text]))))
+    bits = op.Bits(tokens, model)
+    starts = sorted({0, *op.EARLY, *range(0, len(tokens.hash), op.STRIDE)})
+    weights, moved = model.gates.weights.astype(float).copy(), np.zeros((2, op.KNOTS))
+    found = model.words.rest[bits.leaf].copy()
+    for low, high in zip(starts, [*starts[1:], len(tokens.hash)], strict=True):
+        changes = {}
+        for i in np.flatnonzero((bits.token >= low) & (bits.token < high)):
+            part = int(i >= bits.n_words)
+            seen = [int(model.slots[s[i]]) for s in bits.slots]
+            gate = part * 25 + (seen[0] & 7) * 5 + (seen[1] & 7)
+            x = np.array([bits.logit[i], (seen[0] >> 3) / 256, (seen[1] >> 3) / 256])
+            place = np.clip(weights[gate] @ x, -op.CERTAIN, op.CERTAIN) / op.KNOT + op.KNOTS // 2
+            knot, beyond = int(place), place - int(place)
+            refined = model.gates.refined[gate]
+            logit = refined[knot] * (1 - beyond) + refined[knot + 1] * beyond + moved[part, knot]
+            p = 1 / (1 + math.exp(-min(max(logit, -16), 16)))
+            found[bits.token[i]] += math.log10(p if bits.bit[i] else 1 - p)
+            for key, change in ((gate, (bits.bit[i] - p) * x), ((part, knot), bits.bit[i] - p)):
+                total, n = changes.get(key, (0, 0))
+                changes[key] = total + change, n + 1
+        for key, (total, n) in changes.items():
+            if isinstance(key, tuple):
+                moved[key] += op.REFINING_RATE * total / math.sqrt(n)
+            else:
+                weights[key] += op.RATE * total / math.sqrt(n)
+    return found
+
+
+def test_scores_are_those_of_a_plain_version(spark):
+    """Texts shorter and longer than a stride, alone and beside others, with weights and refinements of `fit`."""
+    rng = random.Random(4)
+    texts = [prose(rng, n, 60, tag) + " Odd" + str(n) for n in (3, 20, 60, 150, 400) for tag in ("", "q")]
+    model, _ = op.fit(spark.createDataFrame([(t,) for t in texts * 2], "text string"))
+    tokens = op.Tokens(next(spans.blocks(pa.array(texts))))
+    scores = op.log_probabilities(op.Bits(tokens, model), tokens, model)
+    for row, text in enumerate(texts):
+        own = scores[tokens.first[row]:tokens.first[row + 1]]
+        assert np.allclose(own, plain_scores(text, model), rtol=1e-3, atol=2e-3)
+
+
+def test_weights_move_inside_a_text_of_fewer_words_than_a_stride():
+    rng = random.Random(1)
+    model, _ = small_model([prose(rng, 60, 40) for _ in range(30)])
+    text = " ".join(["w0 w39"] * 30)
+    tokens = op.Tokens(next(spans.blocks(pa.array([text]))))
+    moved = op.log_probabilities(op.Bits(tokens, model), tokens, model)
+    assert len(tokens.hash) < op.STRIDE and moved[48:60].sum() > moved[8:20].sum() and moved[40:60].sum() > moved[10:30].sum()
+
+
+def test_gates_are_learned_from_the_table():
+    """Bits drawn from known weights give these weights back, and a miscalibrated logit is refined."""
+    rng = np.random.default_rng(0)
+    shape = (2, op.CLASSES, op.LEVELS, op.CLASSES, op.LEVELS, op.LEVELS)
+    true, table = np.array([0.3, 0.9, -0.2]), np.zeros((*shape, 2))
+    level = rng.integers(5, 12, (200_000, 3))
+    x = (level - op.LEVELS // 2) * op.LEVEL
+    ones = rng.random(len(x)) < 1 / (1 + np.exp(-x @ true))
+    np.add.at(table, (0, 3, level[:, 1], 2, level[:, 2], level[:, 0], ones.astype(int)), 1)
+    table[1, 0, op.LEVELS // 2, 0, op.LEVELS // 2, op.LEVELS // 2] = 1000, 9000  # of logit 0 nine tenths are set
+    gates = op.learned(table.reshape(-1, 2))
+    assert np.allclose(gates.weights[3 * op.CLASSES + 2], true, atol=0.05)
+    assert abs(gates.refined[op.CLASSES ** 2, op.KNOTS // 2] - math.log(9)) < 0.05
+    assert np.array_equal(gates.weights[7], op.untrained().weights[7])
+
+
+def test_learned_gates_predict_held_out_texts_better(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"{'ab'[i % 2]}{int(30 * rng.random() ** 2)}" for i in range(120)) for _ in range(150)]
+    model, _ = op.fit(spark.createDataFrame([(t,) for t in texts[:120]], "text string"))
+    tokens = op.Tokens(next(spans.blocks(pa.array(texts[120:]))))
+    bits = op.Bits(tokens, model)
+    learned = op.log_probabilities(bits, tokens, model).sum()
+    model.gates = None
+    assert learned > op.log_probabilities(bits, tokens, model).sum()
