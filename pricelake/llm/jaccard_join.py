@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from pricelake.llm import spans
 from pricelake.llm.tables import by_batch, table
-from pricelake.session import cut
+from pricelake.session import cut, drop_stored
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 75, 100        # of the least similarity
@@ -490,25 +490,43 @@ def _cell_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     spans.release()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, comp) for all nodes of links (a, b): comp is the smallest node that is reachable.
-
-    Every node takes the smallest label around it, then that label's own label, until nothing changes.
-    """
-    edges = cut(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels")
+def _rooted(labels: DataFrame) -> DataFrame:
+    """(node, comp) with each label replaced by the last that labels of labels lead to; labels are nodes."""
     while True:
-        around = (edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
-                  .agg(F.min("comp").alias("near")))
-        nearer = labels.join(around, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
-        fresh = cut(nearer.join(jump, "comp", "left").select(
-            "node", "old", F.least("comp", F.coalesce("further", "comp")).alias("comp")), "labels")
+        fresh = cut(labels.join(jump, "comp").select("node", F.col("comp").alias("old"), F.col("further").alias("comp")), "labels")
+        drop_stored(labels)
         labels = fresh.select("node", "comp")
         if fresh.filter("comp <> old").isEmpty():
             return labels
 
 
+def components(links: DataFrame) -> DataFrame:
+    """(node, comp) for all nodes of links (a, b): comp is the smallest node that is reachable.
+
+    Every node takes the smallest node around it and then what that leads to; links between different labels are the links of
+    the next level, which has at most half the nodes. The smallest node of all keeps its own label on every level.
+    """
+    edges, levels = cut(links.select("a", "b").distinct(), "edges"), []
+    while not levels or not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        labels = _rooted(cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels"))
+        levels.append(labels)
+        ends = [labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}")) for end in "ab"]
+        fresh = cut(edges.join(ends[0], "a").join(ends[1], "b").filter("comp_a <> comp_b").select(
+            F.least("comp_a", "comp_b").alias("a"), F.greatest("comp_a", "comp_b").alias("b")).distinct(), "edges")
+        drop_stored(edges)
+        edges = fresh
+    found = levels.pop()
+    for level in reversed(levels):
+        above = found.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
+        lower = cut(level.join(above, "comp", "left").select("node", F.coalesce("further", "comp").alias("comp")), "labels")
+        drop_stored(level)
+        drop_stored(found)
+        found = lower
+    return found
+
+
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc, n_shingles and component_id, the smallest id that is reachable by links, its own included.
 

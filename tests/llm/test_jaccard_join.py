@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from helpers import awkward, frame, lowered, prose, words
 
+from pricelake import session
 from pricelake.llm import jaccard_join as op
 from pricelake.llm import spans
 
@@ -125,3 +126,25 @@ def test_bands_of_a_whole_cluster_miss_no_link():
     passed = {tuple(sorted(pair)) for pair in passed}
     linked = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if op._similar(sets[i], sets[j])}
     assert len(linked) > 5 and linked <= passed
+
+
+def test_components_of_random_links_leave_one_table(spark, tmp_path, monkeypatch):
+    """Against union-find, with self-links and both directions; tables of the levels are removed."""
+    monkeypatch.setattr(op, "cut", lambda df, name: session.cut(df, name))
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    rng = random.Random(8)
+    pairs = [(rng.randrange(400) * 7919 % 401, rng.randrange(400)) for _ in range(330)] + [(500, 500), (9, 3), (3, 9)]
+    parent = {x: x for pair in pairs for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        one, two = root(a), root(b)
+        parent[max(one, two)] = min(one, two)
+    found = op.components(spark.createDataFrame(pairs, "a long, b long"))
+    assert {r.node: r.comp for r in found.collect()} == {x: root(x) for x in parent}
+    left = [p.name for p in (tmp_path / "pricelake").glob("*/*")]
+    assert left.count("labels") == 1 and left.count("edges") <= 1
