@@ -288,6 +288,7 @@ def _without(values: pa.Array, ranges: pa.Array) -> pa.Array:
                 at = ends[r["last"] - 1]
             content = b"".join([*pieces, data[at:]]).decode()
         kept.append(content)
+    spans.release()
     return pa.array(kept, pa.string())
 
 

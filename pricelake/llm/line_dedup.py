@@ -114,11 +114,16 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"shard": pa.array([r[0] for r in rows], pa.int32()),
                                           "once": pa.array([r[1] for r in rows], pa.binary()),
                                           "twice": pa.array([r[2] for r in rows], pa.binary())})
+    del once, twice, rows
+    spans.release()
 
 
 def _merged(rows: pd.DataFrame) -> pd.DataFrame:
     once, twice = _joined([_unpacked(x) for x in rows["once"]], [_unpacked(x) for x in rows["twice"]])
-    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "once": [_packed(once)], "twice": [_packed(twice)]})
+    made = pd.DataFrame({"shard": [rows["shard"].iloc[0]], "once": [_packed(once)], "twice": [_packed(twice)]})
+    del once, twice
+    spans.release()
+    return made
 
 
 def _merged_twice(rows: pd.DataFrame) -> pd.DataFrame:
@@ -231,6 +236,8 @@ def _rewritten(values: pa.Array, chosen: Callable[[Lines, int], np.ndarray]) ->
         whole = values.slice(block.first, block.last - block.first)
         kept += [_without(found, drop, row) if n_dropped[-1][row] else whole[row].as_py() or ""
                  for row in range(block.last - block.first)]
+        del found, drop
+    spans.release()
     return pa.StructArray.from_arrays([pa.array(np.concatenate(n_lines)), pa.array(np.concatenate(n_dropped)),
                                        pa.array(kept, pa.string())], ["n_lines", "n_dropped", "kept"])
 

@@ -80,6 +80,8 @@ def _train(rows: pd.DataFrame) -> pd.DataFrame:
             values = np.append(counts * (SCALE / max(counts.sum(), 1)), 1.0)
             examples.append((np.append(at, 1 << BITS), values, float(rows["_label"].iloc[block.first + row])))
     weights, bias = follow_leader(examples)
+    examples.clear()
+    spans.release()
     return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
 
 

@@ -22,7 +22,7 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 AS_IS = np.arange(256, dtype=np.uint8)
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 16    # bytes that share one table of powers, which every worker keeps
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

@@ -40,3 +40,13 @@ def test_ngrams_stay_in_rows():
     values = np.arange(7, dtype=np.uint64)
     grams, rows = spans.ngrams(values, np.array([0, 3, 3, 7]), 2)
     assert rows.tolist() == [0, 0, 2, 2, 2] and len(set(grams.tolist())) == 5
+
+
+def test_tables_of_powers_that_a_worker_keeps_are_small():
+    spans._powers.clear()
+    text = pa.array(["some words of a line\n" * 200_000])
+    block = next(spans.blocks(text))
+    starts, ends, _ = spans.words(block)
+    for seed in (0, 1):
+        assert len(np.unique(spans.hashes(block.data, starts, ends, spans.LOWER, seed))) == 5
+    assert sum(x.nbytes for tables in spans._powers.values() for x in tables) < 4 << 20
