@@ -3,16 +3,18 @@
 Sets are told apart by 64-bit hashes of their contents ("nodes"), so exact copies are one node from the start. Links are
 only made by intersecting two nodes' sorted shingle hashes. Candidates come in three steps, none of which loses a link:
 
-1. Nodes that share a smallest hash under one of `BANDS` permutations are compared with the first node of their bucket.
-   This joins most copies to large components by stars instead of by all pairs.
+1. Nodes that share a smallest hash under one of `BANDS` permutations are compared with the first node of their bucket,
+   bitmap with bitmap and, if these let the pair through, set with set. This joins most copies to large components by stars
+   instead of by all pairs.
 2. Two sets that link share a shingle among the first quarter of each, in any common order. The order here puts
    shingles last that a twice-seen filter over all nodes has, so most texts have nothing to share in that quarter. Of the
    rest, only shingles that nodes of different components have there are kept.
 3. Nodes that hang together by such shingles form a cluster. A cluster is cut into tiles by size bands of a ratio of 4/3,
-   and bands of more than `TILE` nodes into blocks; tiles of one band and of neighbouring bands meet in cells. Each text is
-   sent once to every cell of its tile. There, bit counts of hashed bitmaps bound every intersection from above; pairs of
-   different components that the bound lets through are intersected, sorted array with sorted array. A cluster that fits a
-   tile is one cell, parted by size bands in its task.
+   and bands of more than `TILE` nodes into blocks; tiles of one band and of neighbouring bands meet in cells. A node's
+   bitmap is sent to every cell of its tile. There, bit counts bound every intersection from above, and only nodes that
+   the bound leaves a partner in another component send their text to the cell, whose pairs are then intersected, sorted
+   array with sorted array. A cluster that fits a tile is one cell, parted by size bands in its task, and gets its texts
+   at once.
 
 A cell holds a bounded number of nodes. The twice-seen filter is gathered in 2^32 places and broadcast in as many bits as its
 set ones ask for, up to a bound; full filters let more through, never less.
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,9 +86,11 @@ def shingle_sets(block: spans.Block, n: int = WORDS) -> tuple[np.ndarray, np.nda
 def node_ids(grams: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """A hash of each row's set: sums of two mixings of its members, mixed with its size."""
     sizes = np.diff(firsts).astype(np.uint64)
-    one, two = np.concatenate([[0], np.cumsum(spans.mixed(grams))]).astype(np.uint64), np.concatenate(
-        [np.zeros(1, np.uint64), np.cumsum(spans.mixed(grams ^ np.uint64(0x5851F42D4C957F2D)))])
-    sums = [part[firsts[1:]] - part[firsts[:-1]] for part in (one, two)]
+    sums = []
+    for salt in (0, 0x5851F42D4C957F2D):
+        upto = np.zeros(len(grams) + 1, np.uint64)     # wraps around, so a row's sum does not depend on the rows before it
+        np.cumsum(spans.mixed(grams ^ np.uint64(salt)), out=upto[1:])
+        sums.append(upto[firsts[1:]] - upto[firsts[:-1]])
     return spans.mixed(spans.mixed(sums[0] + sizes) ^ sums[1])
 
 
@@ -128,8 +133,9 @@ class Sets:
         self.spark = docs.sparkSession
         self.rows = docs.select(F.col(doc).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         self.kind = docs.schema[doc].dataType.simpleString()
-        self.summary = cut(by_batch(self.rows, f"doc {self.kind}, node long, n long, bands array<long>", _summary), "shingle-sets")
-        self.nodes = cut(self.summary.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.min("n").alias("n")), "nodes")
+        self.summary = cut(by_batch(self.rows, f"doc {self.kind}, node long, n long, bands array<long>, bits binary", _summary), "shingle-sets")
+        self.nodes = cut(self.summary.filter("n > 0").groupBy("node").agg(
+            F.min("doc").alias("doc"), *(F.first(c).alias(c) for c in ("n", "bands", "bits"))), "nodes")
         # one document for each node
         kept = by_batch(self.nodes.select("node", "doc"), "place int", lambda batch: {"place": pa.array(
             _key(batch.column(0).to_numpy().view(np.uint64), batch.column(1)), pa.int32())})
@@ -204,9 +210,10 @@ class Sets:
 
     def cell_links(self, shared: DataFrame) -> DataFrame:
         """Links (a, b) between nodes of different components that share a token; `shared` has (token, node, comp)."""
-        stars = (shared.groupBy("token").agg(F.min("node").alias("a"), F.min("comp").alias("one"), F.max("comp").alias("two"))
+        dealt = shared.repartition("token")     # once for both sides of the join
+        stars = (dealt.groupBy("token").agg(F.min("node").alias("a"), F.min("comp").alias("one"), F.max("comp").alias("two"))
                  .filter("one <> two").select("token", "a"))
-        edges = cut(shared.join(stars, "token").filter("a < node").select("a", F.col("node").alias("b")).distinct(), "shared-tokens")
+        edges = cut(dealt.join(stars, "token").filter("a < node").select("a", F.col("node").alias("b")).distinct(), "shared-tokens")
         band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
         members = (components(edges).withColumnRenamed("comp", "cluster").join(self.nodes, "node")
                    .withColumn("band", band))
@@ -217,7 +224,7 @@ class Sets:
         sizes = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
         members = cut(members.join(sizes, ["cluster", "band"]).select(
             "node", "comp", "cluster", "band", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
-            F.col("doc").alias("chosen")), "cluster-nodes")
+            F.col("doc").alias("chosen"), "n", "bits"), "cluster-nodes")
         sizes = cut(sizes, "cluster-bands")
         # a tile meets the tiles of its band and of the next: cell (band, block, next band or the same, its block)
         other = sizes.select("cluster", F.col("band").alias("band_b"), F.col("blocks").alias("blocks_b"))
@@ -230,20 +237,32 @@ class Sets:
                                F.col("band_b").alias("band"), F.col("block_b").alias("block")).filter("band <> band_a or block <> block_a")
         visiting = members.join(cells_b, ["cluster", "band", "block"])
         keys = ["cluster", "band_a", "block_a", "band_b", "block_b"]
-        sent = own.select("cluster", F.col("band").alias("band_a"), F.col("block").alias("block_a"), "band_b", "block_b", "node", "comp",
-                          F.lit(0).alias("side")).union(visiting.select(
+        sent = own.select("cluster", F.col("band").alias("band_a"), F.col("block").alias("block_a"), "band_b", "block_b",
+                          F.lit(0).alias("side"), "node", "comp", "n", "bits").union(visiting.select(
                               "cluster", "band_a", "block_a", F.col("band").alias("band_b"), F.col("block").alias("block_b"),
-                              "node", "comp", F.lit(1)))
-        rows = sent.join(self._texts(members.select("node", "chosen")), "node").select(*keys, "side", "node", "comp", "text")
+                              F.lit(1), "node", "comp", "n", "bits"))
+        columns = [F.col(c).cast("long") for c in (*keys, "side", "node", "comp")]
+        partnered = sent.filter("band_a >= 0").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+            _partnered, ", ".join(f"{c} long" for c in (*keys, "side", "node", "comp")))
+        partnered = cut(sent.filter("band_a < 0").select(columns).union(partnered), "partnered-nodes")
+        wanted = members.join(partnered.select("node").distinct(), "node", "left_semi").select("node", "chosen")
+        rows = partnered.join(self._texts(wanted), "node").select(*keys, "side", "node", "comp", "text")
         return cut(rows.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(_cell_work, "a long, b long"), "links")
 
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) of nodes whose sizes and bitmaps do not rule a link out."""
+        ends = [self.nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+                for end in "ab"]
+        return by_batch(pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"),
+                        "a long, b long", _bounded)
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) of nodes whose sets are similar enough; exact.
 
         Pairs that hang together meet in one cell, or, where more than `CELL` nodes do, in a grid of cells; each text is
         sent once to every cell that compares it, not with every pair.
         """
-        pairs = cut(pairs, "candidate-pairs")
+        pairs = cut(self.bounded(pairs), "candidate-pairs")
         hangs = components(pairs)
         sizes = hangs.groupBy("comp").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks"))
         placed = cut(hangs.join(sizes, "comp").join(self.nodes, "node").select(
@@ -263,11 +282,16 @@ class Sets:
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
         """(node, text) for rows (node, chosen): the text of each node's chosen document."""
-        kept = by_batch(wanted, "place int", lambda batch: {"place": pa.array(
-            _key(batch.column(0).to_numpy().view(np.uint64), batch.column(1)), pa.int32())})
-        packed = self.spark.sparkContext.broadcast(_bitmap(kept))
+        # most documents are ruled out by their id, before their sets are made
+        ids, kept = (by_batch(wanted, "place int", work) for work in (
+            lambda batch: {"place": pa.array(_key(np.uint64(0), batch.column(1)), pa.int32())},
+            lambda batch: {"place": pa.array(_key(batch.column(0).to_numpy().view(np.uint64), batch.column(1)), pa.int32())}))
+        named, packed = (self.spark.sparkContext.broadcast(_bitmap(places)) for places in (ids, kept))
 
         def work(batch: pa.RecordBatch) -> dict | None:
+            batch = batch.take(pa.array(np.flatnonzero(_in(named.value, _key(np.uint64(0), batch.column(0))))))
+            if not batch.num_rows:
+                return None
             node = np.concatenate([node_ids(*shingle_sets(block)) for block in spans.blocks(batch.column(1))])
             at = np.flatnonzero(_in(packed.value, _key(node, batch.column(0))))
             picked = pa.array(at)
@@ -340,16 +364,17 @@ def _folded(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _summary(batch: pa.RecordBatch) -> dict:
-    nodes, sizes, bands = [], [], []
+    nodes, sizes, bands, bits = [], [], [], []
     for block in spans.blocks(batch.column(1)):
         grams, firsts = shingle_sets(block)
         nodes.append(node_ids(grams, firsts).view(np.int64))
         sizes.append(np.diff(firsts))
         bands.append(_first_hashes(grams, firsts).view(np.int64))
+        bits += [_signature(grams[low:high]) for low, high in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
     bands = np.concatenate(bands)
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.reshape(-1)))
     return {"doc": batch.column(0), "node": pa.array(np.concatenate(nodes)), "n": pa.array(np.concatenate(sizes), pa.int64()),
-            "bands": lists}
+            "bands": lists, "bits": pa.array(bits, pa.binary())}
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,17 +426,39 @@ def _signature(grams: np.ndarray) -> bytes:
     return np.packbits(mask, bitorder="little").tobytes()
 
 
-def _matrix(bitmaps: list[bytes]) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words; wider ones are folded to the narrowest, which keeps every member's bit."""
-    width = min(map(len, bitmaps))
+def _matrix(bitmaps: list[bytes], width: int | None = None) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words; wider ones are folded to `width` bytes or the narrowest, which keeps every member's bit."""
+    width = width or min(map(len, bitmaps))
     rows = np.zeros((len(bitmaps), width // 8), np.uint64)
     for i, stored in enumerate(bitmaps):
         rows[i] = np.bitwise_or.reduce(np.frombuffer(stored, np.uint64).reshape(-1, width // 8), axis=0)
     return rows
 
 
+def _bounded(batch: pa.RecordBatch) -> dict | None:
+    """The pairs (a, b) of rows (a, b, both sizes, both bitmaps) that sizes and bitmaps let through."""
+    one, two = (batch.column(k).to_numpy() for k in (2, 3))
+    need = least_common(one, two)
+    width = np.minimum(*(pc.binary_length(batch.column(k)).to_numpy() for k in (4, 5)))
+    ok = np.minimum(one, two) >= need
+    for least in np.unique(width[ok]).tolist():
+        at = np.flatnonzero(ok & (width == least))
+        rows = [_matrix(batch.column(k).take(pa.array(at)).to_pylist(), least) for k in (4, 5)]
+        many = [np.bitwise_count(x).sum(1).astype(np.int64) for x in (*rows, rows[0] & rows[1])]
+        ok[at] = np.minimum(one[at] - many[0], two[at] - many[1]) + many[2] >= need[at]
+    left = pa.array(ok)
+    return {name: batch.column(k).filter(left) for k, name in enumerate("ab")} if ok.any() else None
+
+
 def _tile_pairs(comp: np.ndarray, side: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, int]]:
     """Pairs of a cell that the bitmaps let through: of different components and, where two tiles meet, one of each."""
+    for i, others in _tile_rows(comp, side, size, bits):
+        for other in others.tolist():
+            yield i, other
+
+
+def _tile_rows(comp: np.ndarray, side: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """These pairs, as a row and all its partners."""
     if side.any():
         yield from _band_pairs(comp, np.flatnonzero(side == 0), np.flatnonzero(side), size, bits)
         return
@@ -423,8 +470,9 @@ def _tile_pairs(comp: np.ndarray, side: np.ndarray, size: np.ndarray, bits: list
             yield from _band_pairs(comp, own, tiles[b + 1], size, bits)
 
 
-def _band_pairs(comp: np.ndarray, ones: np.ndarray, others: np.ndarray, size: np.ndarray, bits: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Pairs of one row of each list, or of two rows of the list if they are the same."""
+def _band_pairs(comp: np.ndarray, ones: np.ndarray, others: np.ndarray, size: np.ndarray,
+                bits: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of one list with rows of the other, or with later rows of the list if they are the same."""
     met = np.union1d(ones, others)
     own = _matrix([bits[i] for i in met.tolist()])
     rows = np.zeros((len(comp), own.shape[1]), np.uint64)
@@ -440,8 +488,8 @@ def _band_pairs(comp: np.ndarray, ones: np.ndarray, others: np.ndarray, size: np
         both = np.bitwise_count(rows[j] & rows[i]).sum(1).astype(np.int64)
         # every bit that only one of the two has set stands for a member that only it has
         bound = np.minimum(size[i] - (many[i] - both), size[j] - (many[j] - both))
-        for other in j[bound >= need].tolist():
-            yield int(i), other
+        if (bound >= need).any():
+            yield i, j[bound >= need]
 
 
 def _cell_links(tile: pa.Table) -> Iterator[tuple[int, int]]:
@@ -463,31 +511,45 @@ def _cell_links(tile: pa.Table) -> Iterator[tuple[int, int]]:
             yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
 
 
-def _cell_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells in the order of their keys; a cell may go on in the next batch."""
-    waiting: list[pa.RecordBatch] = []
-    keys: tuple | None = None
+def _partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (cell's keys, side, node, comp, size, bitmap) those that the bitmaps leave a partner in the cell."""
+    for tile in _cells(batches):
+        comp, side, size = (tile[c].to_numpy() for c in ("comp", "side", "n"))
+        has = np.zeros(len(tile), bool)
+        for i, others in _tile_rows(comp, side, size, tile["bits"].to_pylist()):
+            has[i] = has[others] = True
+        if has.any():
+            kept = tile.select(range(8)).filter(pa.array(has)).combine_chunks()
+            yield pa.RecordBatch.from_pydict({c: kept[c].chunk(0).cast(pa.int64()) for c in kept.column_names})
+    spans.release()
+
 
-    def finished() -> Iterator[pa.RecordBatch]:
-        tile = pa.Table.from_batches(waiting)
-        found = list(_cell_links(tile)) if tile.num_rows > 1 else []
+def _cell_work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of cells whose rows have texts."""
+    for tile in _cells(batches):
+        found = list(_cell_links(tile))
         if found:
             a, b = zip(*found, strict=True)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    spans.release()
 
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Cells of two rows or more in the order of their keys; a cell may go on in the next batch."""
+    waiting: list[pa.RecordBatch] = []
+    keys: tuple | None = None
     for batch in batches:
         own = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)], 1)
         bounds = np.append(np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))), len(own))
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if waiting and tuple(own[low]) != keys:
-                yield from finished()
+                if sum(map(len, waiting)) > 1:
+                    yield pa.Table.from_batches(waiting)
                 waiting = []
             keys = tuple(own[low])
             waiting.append(batch.slice(low, high - low))
-    if waiting:
-        yield from finished()
-        waiting = []
-    spans.release()
+    if sum(map(len, waiting)) > 1:
+        yield pa.Table.from_batches(waiting)
 
 
 def _rooted(labels: DataFrame) -> DataFrame:
@@ -535,8 +597,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     """
     sets = Sets(docs, doc, text)
     # 1: the first node of each bucket
-    bands = sets.summary.filter("n > 0").select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("band"))
-    bands = cut(bands, "bands")
+    bands = sets.nodes.select("node", F.explode("bands").alias("band")).repartition("band")     # dealt once for both sides of the join
     leaders = (bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").drop("last"))
     stars = bands.join(leaders, "band").filter("a < node").select("a", F.col("node").alias("b")).distinct()
     links = sets.links(stars)

@@ -148,3 +148,45 @@ def test_components_of_random_links_leave_one_table(spark, tmp_path, monkeypatch
     assert {r.node: r.comp for r in found.collect()} == {x: root(x) for x in parent}
     left = [p.name for p in (tmp_path / "pricelake").glob("*/*")]
     assert left.count("labels") == 1 and left.count("edges") <= 1
+
+
+def test_a_set_is_the_same_node_whatever_stands_before_it():
+    rng = random.Random(4)
+    texts = [prose(rng, 40, 5000) for _ in range(60)]
+    ids = lambda rows: op.node_ids(*op.shingle_sets(next(spans.blocks(pa.array(rows)))))
+    assert ids(texts).tolist() == [int(ids([t])[0]) for t in texts]
+    assert ids(texts[::-1]).tolist() == ids(texts).tolist()[::-1]
+
+
+def test_bounds_of_pairs_never_rule_out_a_link():
+    rng, texts = random.Random(6), []
+    for _ in range(150):
+        base = prose(rng, rng.randrange(5, 300), 3000)
+        texts += [base, edited(rng, base, rng.choice([0.01, 0.03, 0.05, 0.3]))]
+    sets = list(op._sets(pa.array(texts)))
+    size, bits = [len(x) for x in sets], [op._signature(x) for x in sets]
+    pairs = [(i, i + 1) for i in range(0, 300, 2)] + [(rng.randrange(300), rng.randrange(300)) for _ in range(300)]
+    a, b = (list(x) for x in zip(*pairs, strict=True))
+    left = op._bounded(pa.RecordBatch.from_pydict({
+        "a": a, "b": b, "n_a": [size[i] for i in a], "n_b": [size[i] for i in b],
+        "bits_a": [bits[i] for i in a], "bits_b": [bits[i] for i in b]}))
+    left = set(zip(left["a"].to_pylist(), left["b"].to_pylist(), strict=True))
+    linked = {(i, j) for i, j in pairs if op._similar(sets[i], sets[j])}
+    assert len(linked) > 40 and linked <= left and len(left) < len(linked) + 60
+
+
+def test_a_large_cluster_sends_the_texts_of_possible_links_only(spark, monkeypatch):
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(12)]
+    texts.append(texts[5] + " end")
+
+    def sent(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"a": batch.column(6), "b": batch.column(6)})
+
+    monkeypatch.setattr(op, "TILE", 3)
+    sets = op.Sets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+    shared = sets.nodes.selectExpr("1L as token", "node", "node as comp")
+    both = {r.node for r in sets.nodes.filter("doc in (5, 12)").collect()}
+    assert {(r.a, r.b) for r in sets.cell_links(shared).collect()} == {(min(both), max(both))}
+    monkeypatch.setattr(op, "_cell_work", sent)
+    assert {r.a for r in sets.cell_links(shared).collect()} == both
