@@ -126,7 +126,7 @@ class ByteLevelTokens:
         if not len(data):
             return np.zeros(0, np.int64)
         first, end = distinct.lead + (data[distinct.lead] == 0x20), distinct.lead + distinct.sizes
-        has = lambda flags: np.diff(np.append(0, np.cumsum(flags))[[first, end]], axis=0)[0] > 0
+        has = lambda flags: np.diff(np.append(np.int32(0), np.cumsum(flags, dtype=np.int32))[[first, end]], axis=0)[0] > 0
         return np.where((first == end) | has(NOT_JOINED[data]), 2, has(~LETTERS[data]))
 
     def __call__(self, block: spans.Block) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +170,9 @@ class Distinct:
 
     def __init__(self, block: spans.Block, cuts: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None):
         starts, ends, self.firsts = cuts or stretches(block)
-        _, lead, self.which = np.unique(spans.hashes(block.data, starts, ends), return_index=True, return_inverse=True)
+        # numbered as they first occur
+        self.which = pa.array(spans.hashes(block.data, starts, ends)).dictionary_encode().indices.to_numpy()
+        lead = np.flatnonzero(np.diff(np.maximum.accumulate(self.which), prepend=-1))
         raw = block.data.tobytes()
         self.lead, self.sizes = starts[lead], (ends - starts)[lead]
         self.found = [raw[a:b] for a, b in zip(starts[lead].tolist(), ends[lead].tolist(), strict=True)]

@@ -30,20 +30,24 @@ def _words(bits: np.ndarray) -> np.ndarray:
     return whole.view(np.uint64)
 
 
+def _narrow(levels: int) -> type:
+    return np.uint16 if levels <= 16 else np.uint32
+
+
 def encode(ids: np.ndarray, levels: int | None = None) -> bytes:
     """The blob of a sequence of non-negative ids below 2^32."""
     ids = np.ascontiguousarray(ids, np.uint32)
     top = int(ids.max()).bit_length() if len(ids) else 0
     levels = max(levels or 1, top, 1)
-    zeros, sections = [], []
+    ids, zeros, sections = ids.astype(_narrow(levels)), [], []
     for level in range(levels):
-        one = (ids >> np.uint32(levels - 1 - level) & np.uint32(1)).astype(bool)
+        one = (ids & ids.dtype.type(1 << (levels - 1 - level))).astype(bool)
         words = _words(one)
         directory = np.zeros(len(words) // WORDS + 1, np.uint32)
         np.cumsum(np.bitwise_count(words).reshape(-1, WORDS).sum(1), out=directory[1:])
         zeros.append(len(ids) - int(directory[-1]))
         sections += [_codec.compress(words.tobytes(), asbytes=True), _codec.compress(directory.tobytes(), asbytes=True)]
-        ids = np.concatenate([ids[~one], ids[one]])
+        ids = np.concatenate([ids.take(np.flatnonzero(x)) for x in (~one, one)])     # by places, faster than by a random mask
     head = MAGIC + struct.pack("<BQ", levels, len(ids)) + struct.pack(f"<{levels}Q", *zeros)
     return head + struct.pack(f"<{2 * levels}Q", *map(len, sections)) + b"".join(sections)
 
@@ -145,12 +149,12 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence, from the last level up."""
-        ids = np.zeros(self.length, np.uint32)
+        ids = np.zeros(self.length, _narrow(self.levels))
         for level in reversed(range(self.levels if self.length else 0)):
             words, _ = self._plane(level)
             one = np.unpackbits(words.view(np.uint8), count=self.length, bitorder="little").astype(bool)
+            ids[self.zeros[level]:] |= ids.dtype.type(1 << (self.levels - 1 - level))
             above = np.empty_like(ids)
-            above[~one] = ids[:self.zeros[level]]
-            above[one] = ids[self.zeros[level]:] | np.uint32(1 << (self.levels - 1 - level))
+            above[~one], above[one] = ids[:self.zeros[level]], ids[self.zeros[level]:]
             ids = above
-        return ids
+        return ids.astype(np.uint32)

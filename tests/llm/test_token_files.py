@@ -4,11 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, frame, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pricelake.llm import spans, units, wavelet
 from pricelake.llm.token_files import documents, occurrences, read_tokens, token_counts, write_tokens
 from pricelake.llm.wavelet import WaveletMatrix, encode
 
@@ -121,3 +123,24 @@ def test_empty_table_and_other_id_types(spark, tmp_path):
     named = spark.createDataFrame([("b", "two"), ("a", "one two"), (None, "x")], "doc_id string, text string")
     got = documents(write_tokens(named, str(tmp_path / "named"))).orderBy("start").collect()
     assert [(r.doc, r.start) for r in got] == [(None, 0), ("a", 2), ("b", 5)]
+
+
+def test_a_wavelet_matrix_moves_small_ids_in_16_bits(monkeypatch):
+    """Ids on both sides of 2^16 come back as they are; those below are parted as 16-bit numbers."""
+    rng = np.random.default_rng(5)
+    kinds, concatenate = [], np.concatenate
+    for top, kind in ((50_000, np.uint16), (65_536, np.uint16), (65_537, np.uint32), (1 << 31, np.uint32)):
+        ids = np.append(rng.integers(0, top, 3000), top - 1).astype(np.uint32)
+        with monkeypatch.context() as patch:
+            patch.setattr(np, "concatenate", lambda parts, *a, **b: kinds.append(parts[0].dtype) or concatenate(parts, *a, **b))
+            blob = wavelet.encode(ids)
+        assert set(kinds) == {np.dtype(kind)}
+        kinds.clear()
+        found = wavelet.WaveletMatrix(blob).decode()
+        assert found.dtype == np.uint32 and (found == ids).all()
+
+
+def test_stretches_are_numbered_as_they_first_occur():
+    block = next(spans.blocks(pa.array(["b a b", " c a", "b"])))
+    distinct = units.Distinct(block)
+    assert distinct.found == [b"b", b" a", b" b", b" c"] and distinct.which.tolist() == [0, 1, 2, 3, 1, 0]
