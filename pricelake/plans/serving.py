@@ -35,8 +35,15 @@ def _matching(performance: DataFrame, category=None, brand=None, search=None, mi
     return found
 
 
-def _with_segment(performance: DataFrame, segments: DataFrame) -> DataFrame:
-    return performance.join(segments.select("product_id", "segment_name"), "product_id", "left")
+def _with_segment(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """The rows of a page, or of one product, with their segments.
+
+    Segments are reduced to the products of the page before they are joined. There is one for every product, and files of
+    few distinct values look small enough to broadcast, whatever their rows take in memory; the page's keys are a page.
+    """
+    shown = F.broadcast(rows.select("product_id"))
+    own = segments.select("product_id", "segment_name").join(shown, "product_id", "left_semi")
+    return rows.join(own, "product_id", "left")
 
 
 def list_products(performance: DataFrame, segments: DataFrame, page: int = 1,
